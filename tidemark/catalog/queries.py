@@ -121,7 +121,7 @@ def post_cutoff_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kpi_unpivot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The funnel and lead KPIs as one sorted list of metrics."""
-    t = Tables(spark, sf_dir)
+    t = Tables(spark, sf_dir, written=True)
     metrics = [
         compare.to_metrics(t[name], name, GOLD_KEYS[name])
         for name in ("kpi_funnel_month", "kpi_funnel_day", "kpi_lead_origin")
@@ -768,44 +768,22 @@ def replay_guardrail(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def orphans_vs_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphans known after each batch against the numbers that are tolerated."""
-    t = Tables(spark, sf_dir)
-    children = [
-        ("order_reviews_to_orders", inputs.raw_reviews(spark, sf_dir)),
-        (
-            "clickstream_to_orders",
-            t["clickstream_events"].filter(F.col("order_id").isNotNull()),
-        ),
-    ]
-    known = inputs.raw_orders(spark, sf_dir).select(F.trim("order_id").alias("known_id"), "batch_id")
-    first_batch = batch_ops.with_batch_seq(known, BATCHES).groupBy("known_id").agg(
-        F.min("batch_seq").alias("known_from")
-    )
-    per_child = []
-    for relation, rows in children:
-        values = (
-            batch_ops.with_batch_seq(rows, BATCHES)
-            .groupBy("order_id", "batch_seq")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        matched = values.join(first_batch, F.col("order_id") == F.col("known_id"), "left")
-        last = len(BATCHES.ids) - 1
-        # an orphan from the batch it arrives in until the batch its parent arrives in
-        until = F.coalesce(F.col("known_from") - 1, F.lit(last))
-        lasting = matched.filter(F.col("batch_seq") <= until).select(
-            "n", F.explode(F.sequence("batch_seq", until)).alias("batch_seq")
-        )
-        per_child.append(
-            lasting.groupBy("batch_seq")
-            .agg(F.sum("n").alias("n_orphans"))
-            .select(F.lit(relation).alias("relation"), "batch_seq", "n_orphans")
+    events = Tables(spark, sf_dir)["clickstream_events"]
+    children = {
+        "order_reviews_to_orders": inputs.raw_reviews(spark, sf_dir),
+        "clickstream_to_orders": events.filter(F.col("order_id").isNotNull()),
+    }
+    parents = inputs.raw_orders(spark, sf_dir).select(
+        F.trim("order_id").alias("order_id"), "batch_id"
+    )
+    orphans = checks.union_all(
+        checks.orphans_after_each_batch(rows, parents, "order_id", BATCHES).withColumn(
+            "relation", F.lit(relation)
         )
-    sequence = BATCHES.sequence_frame(spark).select("batch_id", "batch_seq")
-    orphans = checks.union_all(per_child).join(F.broadcast(sequence), "batch_seq", "inner")
-    return checks.orphans_against_expected(
-        orphans.select("relation", "batch_id", "n_orphans"),
-        seeds.expected_orphans(spark, BATCHES),
-        BATCHES,
+        for relation, rows in children.items()
     )
+    expected = seeds.expected_orphans(spark, BATCHES)
+    return checks.orphans_against_expected(orphans, expected, BATCHES)
 
 
 @query

@@ -94,7 +94,7 @@ def relationships(
     """
     chosen = child if where is None else child.filter(where)
     values = chosen.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
-    known = parent.select(F.col(parent_column).alias("known"))
+    known = parent.select(F.col(parent_column).alias("known")).distinct()
     return values.join(known, F.col("value") == F.col("known"), "left_anti")
 
 
@@ -537,6 +537,33 @@ def calendar_gaps(calendar: DataFrame, plan: BatchPlan) -> DataFrame:
 # --- expected counts -----------------------------------------------------------------------
 
 
+def orphans_after_each_batch(
+    child: DataFrame, parent: DataFrame, key: str, plan: BatchPlan
+) -> DataFrame:
+    """batch_id, n_orphans: child rows loaded by then whose parent was not.
+
+    Both have ``key`` and ``batch_id``. Children are counted per key and batch
+    before the join; an orphan lasts from its own batch to the one before its
+    parent's.
+    """
+    values = (
+        with_batch_seq(child, plan).groupBy(key, "batch_seq").agg(F.count(F.lit(1)).alias("n"))
+    )
+    known_from = (
+        with_batch_seq(parent, plan).groupBy(key).agg(F.min("batch_seq").alias("__known_from"))
+    )
+    last_batch = F.lit(len(plan.ids) - 1)
+    until = F.coalesce(F.col("__known_from") - 1, last_batch)
+    lasting = (
+        lookup_join(values, known_from, [key], "left")
+        .filter(F.col("batch_seq") <= until)
+        .select("n", F.explode(F.sequence("batch_seq", until)).alias("batch_seq"))
+    )
+    counts = lasting.groupBy("batch_seq").agg(F.sum("n").alias("n_orphans"))
+    sequence = plan.sequence_frame(child.sparkSession).select("batch_id", "batch_seq")
+    return counts.join(F.broadcast(sequence), "batch_seq", "inner").select("batch_id", "n_orphans")
+
+
 def orphans_against_expected(orphans: DataFrame, expected: DataFrame, plan: BatchPlan) -> DataFrame:
     """relation, batch_id, actual, expected, status per relation and batch.
 

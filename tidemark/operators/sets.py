@@ -31,4 +31,4 @@ def key_set_sizes(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def keys_without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``left`` that ``right`` does not have."""
-    return left.select(key).distinct().join(right.select(key), key, "left_anti")
+    return left.select(key).distinct().join(right.select(key).distinct(), key, "left_anti")
