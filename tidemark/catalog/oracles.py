@@ -99,8 +99,7 @@ SNAPSHOT = """(SELECT CASE WHEN l_suppkey % 50 <> 7 THEN l_orderkey END AS l_ord
 
 def stored_text(value: str, kind: str) -> str:
     if kind == "double":
-        plain = f"CAST(CAST({value} AS DECIMAL(38,10)) AS VARCHAR)"
-        return f"regexp_replace({plain}, '\\.?0+$', '')"
+        return f"regexp_replace(printf('%.10f', {value}), '\\.?0+$', '')"
     return f"CAST({value} AS VARCHAR)"
 
 

@@ -41,10 +41,16 @@ def sum_where(condition: Column, value: Column) -> Column:
 
 
 def stored_text(value: Column, type_name: str) -> Column:
-    """Text form of one metric: doubles plain, to ten decimals, without trailing zeros."""
+    """Text form of one metric: doubles plain, to ten decimals, without trailing zeros.
+
+    The whole part is split off first: what remains is exact and small, so its
+    decimals are those of the double and not of its shortest spelling.
+    """
     if type_name in ("double", "float"):
-        plain = value.cast(f"decimal(38,{STORED_DECIMALS})").cast("string")
-        return F.regexp_replace(plain, r"\.?0+$", "")
+        whole = F.floor(value)
+        fraction = F.round((value - whole).cast("decimal(30,20)"), STORED_DECIMALS)
+        plain = (whole.cast("decimal(20,0)") + fraction).cast(f"decimal(38,{STORED_DECIMALS})")
+        return F.regexp_replace(plain.cast("string"), r"\.?0+$", "")
     return value.cast("string")
 
 

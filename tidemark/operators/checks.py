@@ -147,11 +147,11 @@ def key_problems(table: DataFrame, table_name: str, keys: Sequence[str]) -> Data
     ``count(distinct)``, and a key with many copies is combined early.
     """
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    per_key = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     counts = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("n_rows"),
         F.count_if(complete).alias("n_keys"),
-        F.coalesce(F.sum(F.when(~complete, F.col("n"))), F.lit(0)).alias("n_null"),
+        F.coalesce(F.sum(F.when(~complete, F.col("__rows"))), F.lit(0)).alias("n_null"),
     )
     return counts.select(
         F.lit(table_name).alias("table_name"),

@@ -55,16 +55,24 @@ def create_table(
 
 
 def overwrite_table_batches(rows: DataFrame, name: str, partition: str = BATCH) -> None:
-    """As ``overwrite_batches``, into a catalog table; columns are matched by name."""
+    """As ``overwrite_batches``, into a catalog table; columns are matched by name.
+
+    Inserting into a table takes the overwrite mode from the session alone, so
+    it is set for this statement and put back.
+    """
     spark = rows.sparkSession
-    target = spark.table(name).columns
-    (
-        rows.select(*target)
-        .hint("rebalance", F.col(partition))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
-    )
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        (
+            rows.select(*spark.table(name).columns)
+            .hint("rebalance", F.col(partition))
+            .write.mode("overwrite")
+            .insertInto(name)
+        )
+    finally:
+        spark.conf.set(mode, before)
 
 
 def publish(rows: DataFrame, path: str) -> None:
