@@ -289,9 +289,8 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .cast("decimal(12,2)")
             .alias("freight"),
         )
-        .withColumn("batch_id", BATCHES.batch_of(F.col("limit")))
     )
-    return in_scope(items).select(
+    return in_scope(items, "limit", BATCHES).select(
         F.expr("CAST(l_orderkey AS STRING)").alias("order_id"),
         F.expr("CAST(l_linenumber AS STRING)").alias("order_item_id"),
         F.expr("CAST(product AS STRING)").alias("product_id"),
@@ -313,10 +312,8 @@ PAYMENT_VALUE = (
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").withColumn(
-        "batch_id", BATCHES.batch_of(F.col("l_shipdate"))
-    )
-    return in_scope(lines).select(
+    lines = table(spark, sf_dir, "lineitem")
+    return in_scope(lines, "l_shipdate", BATCHES).select(
         F.expr("CAST(l_orderkey AS STRING)").alias("order_id"),
         F.expr("CAST(l_linenumber AS STRING)").alias("payment_sequential"),
         F.expr(PAYMENT_TYPE).alias("payment_type"),
@@ -348,7 +345,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     bulk = BATCHES.ids[0]
     created = F.col("l_shipdate") + F.expr(f"interval {REVIEW_DELAY_DAYS} days")
     lines = table(spark, sf_dir, "lineitem").withColumn("created", created)
-    routed = in_scope(lines.withColumn("batch_id", BATCHES.batch_of(F.col("created"))))
+    routed = in_scope(lines, "created", BATCHES)
     early = (F.col("l_suppkey") % 10 == 0) & (F.col("batch_id") != bulk)
     version = F.explode(F.sequence(F.when(early, 0).otherwise(1), F.lit(1)))
     final = F.col("version") == 1

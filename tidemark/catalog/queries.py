@@ -108,14 +108,13 @@ def route_to_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"
     )
-    return batch_ops.in_scope(batch_ops.route_to_batches(lines, "l_shipdate", BATCHES))
+    return batch_ops.in_scope(lines, "l_shipdate", BATCHES)
 
 
 @query
 def post_cutoff_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    routed = batch_ops.route_to_batches(lines, "l_shipdate", BATCHES)
-    return batch_ops.quarantined(routed).drop("batch_id")
+    return batch_ops.quarantined(lines, "l_shipdate", BATCHES)
 
 
 @query
@@ -448,8 +447,8 @@ def nest_child_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def key_set_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with lines up to the cutoff against orders with lines after it."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
-    routed = batch_ops.route_to_batches(lines, "l_shipdate", BATCHES)
-    kept, excluded = batch_ops.in_scope(routed), batch_ops.quarantined(routed)
+    kept = batch_ops.in_scope(lines, "l_shipdate", BATCHES)
+    excluded = batch_ops.quarantined(lines, "l_shipdate", BATCHES)
     orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
     without_order = sets.keys_without_match(excluded, orders, "l_orderkey")
     sizes = sets.key_set_sizes(kept, excluded, "l_orderkey")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +29,11 @@ def reject_reason(pairs: Sequence[tuple[str, Column]]) -> Column:
     return _codes_of_true_conditions(pairs, REASON_SEPARATOR)
 
 
+def none_of(pairs: Sequence[tuple[str, Column]]) -> Column:
+    """No condition holds. As a filter this reaches the scan, which a built text would not."""
+    return reduce(and_, [~F.coalesce(condition, F.lit(False)) for _, condition in pairs])
+
+
 def is_reject(reason: Column) -> Column:
     return F.coalesce(F.trim(reason) != "", F.lit(False))
 

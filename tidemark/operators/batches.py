@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import first_per_key
+from tidemark.sources.scratch import small_table
 
 
 @dataclass(frozen=True)
@@ -68,23 +69,28 @@ class BatchPlan:
     def sequence_frame(self, spark: SparkSession) -> DataFrame:
         """batch_id, batch_seq, previous_batch: one row per batch."""
         rows = [(b, i, self.ids[i - 1] if i else None) for i, b in enumerate(self.ids)]
-        return spark.createDataFrame(
-            rows, "batch_id string, batch_seq int, previous_batch string"
-        )
+        return small_table(spark, rows, "batch_id string, batch_seq int, previous_batch string")
 
     def bounds_frame(self, spark: SparkSession, first_instant: str) -> DataFrame:
         """batch_id and its half-open time range [starts_at, ends_at)."""
         tick = timedelta(microseconds=1)
         rows = []
-        starts_at = datetime.fromisoformat(first_instant)
+        starts_at = first_instant
         for batch in self.batches:
-            ends_at = datetime.fromisoformat(batch.last_instant) + tick
+            ends_at = str(datetime.fromisoformat(batch.last_instant) + tick)
             rows.append((batch.batch_id, starts_at, ends_at))
             starts_at = ends_at
-        return spark.createDataFrame(
-            rows, "batch_id string, starts_at timestamp_ntz, ends_at timestamp_ntz"
+        return small_table(
+            spark, rows, "batch_id string, starts_at timestamp_ntz, ends_at timestamp_ntz"
         )
 
+    def position_of(self, batch_id: Column) -> Column:
+        """Position in load order; NULL for a batch that is not planned."""
+        position = F.lit(None).cast("int")
+        for number, known in reversed(list(enumerate(self.ids))):
+            position = F.when(batch_id == known, F.lit(number)).otherwise(position)
+        return position
+
     def after_cutoff_date(self, value: Column) -> Column:
         return value.cast("date") > F.lit(self.cutoff_date).cast("date")
 
@@ -116,25 +122,31 @@ MARKETPLACE_BATCHES = BatchPlan(
 
 
 def with_batch_seq(rows: DataFrame, plan: BatchPlan) -> DataFrame:
-    """Rows of known batches with their position; others drop out.
+    """Rows of planned batches with their position; others drop out.
 
-    The lookup has one row per planned batch, so it is broadcast.
+    The plan is part of the job's code, so the lookup is an expression: the
+    rows are not joined, and the filter prunes partitions.
     """
-    lookup = plan.sequence_frame(rows.sparkSession).select("batch_id", "batch_seq")
-    return rows.join(F.broadcast(lookup), "batch_id", "inner")
+    planned = rows.filter(F.col("batch_id").isin(*plan.ids))
+    return planned.withColumn("batch_seq", plan.position_of(F.col("batch_id")))
 
 
 def route_to_batches(rows: DataFrame, instant: str, plan: BatchPlan) -> DataFrame:
+    """Every row with its batch; NULL after the cutoff or without a time."""
     return rows.withColumn("batch_id", plan.batch_of(F.col(instant).cast("timestamp_ntz")))
 
 
-def in_scope(routed: DataFrame) -> DataFrame:
-    return routed.filter(F.col("batch_id").isNotNull())
+def in_scope(rows: DataFrame, instant: str, plan: BatchPlan) -> DataFrame:
+    """Rows up to the cutoff with their batch. The bound is plain, so it reaches the scan."""
+    at = F.col(instant).cast("timestamp_ntz")
+    kept = rows.filter(at <= F.lit(plan.cutoff_timestamp).cast("timestamp_ntz"))
+    return route_to_batches(kept, instant, plan)
 
 
-def quarantined(routed: DataFrame) -> DataFrame:
-    """Rows after the cutoff, kept apart for reconciliation."""
-    return routed.filter(F.col("batch_id").isNull())
+def quarantined(rows: DataFrame, instant: str, plan: BatchPlan) -> DataFrame:
+    """Rows after the cutoff or without a time, kept apart for reconciliation."""
+    at = F.col(instant).cast("timestamp_ntz")
+    return rows.filter(at.isNull() | plan.after_cutoff(at))
 
 
 def join_batch_ranges(

@@ -14,6 +14,7 @@ from tidemark.functions.measures import SMALL_GROUP, SMALL_MONTH_ORDERS
 from tidemark.functions.text import blank_to_null, joined_key
 from tidemark.operators.batches import BatchPlan, with_batch_seq
 from tidemark.operators.skew import lookup_join
+from tidemark.sources.scratch import small_table
 
 ERROR, WARN = "error", "warn"
 # Fixed value: money totals may differ by half a cent.
@@ -410,7 +411,8 @@ def kpi_additivity(gold: Mapping[str, DataFrame]) -> DataFrame:
         ("kpi_funnel_month", "kpi_funnel_day", FUNNEL_SHARED),
     )
     spark = gold["fact_order"].sparkSession
-    wanted = spark.createDataFrame(
+    wanted = small_table(
+        spark,
         [
             (f"{left} vs {right}", component, table, side)
             for left, right, components in pairs

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.batches import MARKETPLACE_BATCHES, BatchPlan
+from tidemark.sources.scratch import small_table
 
 # Quality flags, their table, what they mean, and what they exclude.
 FLAGS = (
@@ -97,11 +98,11 @@ FINAL_DEALS = 792
 
 
 def flag_catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(FLAGS), FLAG_SCHEMA)
+    return small_table(spark, FLAGS, FLAG_SCHEMA)
 
 
 def expected_anomalies(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(ANOMALIES), ANOMALY_SCHEMA)
+    return small_table(spark, ANOMALIES, ANOMALY_SCHEMA)
 
 
 def expected_orphans(spark: SparkSession, plan: BatchPlan = MARKETPLACE_BATCHES) -> DataFrame:
@@ -110,7 +111,7 @@ def expected_orphans(spark: SparkSession, plan: BatchPlan = MARKETPLACE_BATCHES)
         for relation, parent, child, counts in ORPHANS
         for batch_id, count in zip(plan.ids, counts)
     ]
-    return spark.createDataFrame(rows, ORPHAN_SCHEMA)
+    return small_table(spark, rows, ORPHAN_SCHEMA)
 
 
 def expected_row_counts(spark: SparkSession, plan: BatchPlan = MARKETPLACE_BATCHES) -> DataFrame:
@@ -119,4 +120,4 @@ def expected_row_counts(spark: SparkSession, plan: BatchPlan = MARKETPLACE_BATCH
         for table, counts, _, _ in RAW_ROW_COUNTS
         for batch_id, count in zip(plan.ids, counts)
     ]
-    return spark.createDataFrame(rows, ROW_COUNT_SCHEMA)
+    return small_table(spark, rows, ROW_COUNT_SCHEMA)

@@ -11,7 +11,7 @@ from tidemark.functions.casting import (
     integral_to_int,
     safe_cast,
 )
-from tidemark.functions.flags import flag_list, is_reject, reject_reason
+from tidemark.functions.flags import flag_list, is_reject, none_of, reject_reason
 from tidemark.functions.text import (
     blank_to_null,
     category_or_unknown,
@@ -24,6 +24,7 @@ from tidemark.operators.batches import BatchPlan, with_batch_seq
 from tidemark.operators.latest import distinct_lines, latest_rows
 from tidemark.operators.skew import lookup_join, with_group_values
 from tidemark.plans.contract import conform
+from tidemark.sources.scratch import written_table
 
 # Fixed value: calendar days after purchase beyond which a shipping limit is implausible.
 LONGEST_SHIPPING_LIMIT = 148
@@ -32,19 +33,23 @@ LONGEST_SHIPPING_LIMIT = 148
 # --- leads ---------------------------------------------------------------------------------
 
 
+def _lead_faults() -> list[tuple[str, Column]]:
+    contact = blank_to_null(F.col("first_contact_date"))
+    return [
+        ("MISSING_MQL_ID", is_blank(F.col("mql_id"))),
+        ("MISSING_FIRST_CONTACT_DATE", contact.isNull()),
+        (
+            "INVALID_FIRST_CONTACT_DATE",
+            contact.isNotNull() & safe_cast(contact, "DATE").isNull(),
+        ),
+        ("MISSING_LANDING_PAGE_ID", is_blank(F.col("landing_page_id"))),
+    ]
+
+
 def evaluate_leads(bronze: DataFrame) -> DataFrame:
     """Parsed bronze leads with ``reject_reason``; feeds both silver and its rejects."""
-    contact = blank_to_null(F.col("first_contact_date"))
-    contact_date = safe_cast(contact, "DATE")
-    reason = reject_reason(
-        [
-            ("MISSING_MQL_ID", is_blank(F.col("mql_id"))),
-            ("MISSING_FIRST_CONTACT_DATE", contact.isNull()),
-            ("INVALID_FIRST_CONTACT_DATE", contact.isNotNull() & contact_date.isNull()),
-            ("MISSING_LANDING_PAGE_ID", is_blank(F.col("landing_page_id"))),
-        ]
-    )
-    return bronze.filter(F.col("is_parsed")).withColumn("reject_reason", reason)
+    parsed = bronze.filter(F.col("is_parsed"))
+    return parsed.withColumn("reject_reason", reject_reason(_lead_faults()))
 
 
 def leads_rejects(evaluated: DataFrame) -> DataFrame:
@@ -55,7 +60,7 @@ def leads(
     evaluated: DataFrame, plan: BatchPlan
 ) -> DataFrame:
     """One row per lead: the snapshot of its latest batch, the deal flattened."""
-    valid = evaluated.filter(~is_reject(F.col("reject_reason"))).select(
+    valid = evaluated.filter(none_of(_lead_faults())).select(
         F.trim("mql_id").alias("mql_id"),
         safe_cast(F.col("first_contact_date"), "DATE").alias("first_contact_date"),
         F.trim("landing_page_id").alias("landing_page_id"),
@@ -118,18 +123,19 @@ def leads(
 # --- web events ----------------------------------------------------------------------------
 
 
+def _event_faults() -> list[tuple[str, Column]]:
+    return [
+        ("unparsed_log_line", ~F.coalesce(F.col("is_parsed"), F.lit(False))),
+        ("missing_session_id", is_blank(F.col("session_id"))),
+        ("missing_event_ts", F.col("event_ts").isNull()),
+        ("missing_event_type", is_blank(F.col("event_type"))),
+        ("missing_user_id", is_blank(F.col("user_id"))),
+    ]
+
+
 def evaluate_events(bronze: DataFrame) -> DataFrame:
     """Bronze events with ``reject_reason``; unparsed lines are rejects here."""
-    reason = reject_reason(
-        [
-            ("unparsed_log_line", ~F.coalesce(F.col("is_parsed"), F.lit(False))),
-            ("missing_session_id", is_blank(F.col("session_id"))),
-            ("missing_event_ts", F.col("event_ts").isNull()),
-            ("missing_event_type", is_blank(F.col("event_type"))),
-            ("missing_user_id", is_blank(F.col("user_id"))),
-        ]
-    )
-    return bronze.withColumn("reject_reason", reason)
+    return bronze.withColumn("reject_reason", reject_reason(_event_faults()))
 
 
 def events_rejects(evaluated: DataFrame) -> DataFrame:
@@ -158,8 +164,12 @@ def mark_session_moments(
 def clickstream_events(
     evaluated: DataFrame, plan: BatchPlan
 ) -> DataFrame:
-    """One row per distinct log line."""
-    valid = with_batch_seq(evaluated.filter(~is_reject(F.col("reject_reason"))), plan)
+    """One row per distinct log line.
+
+    The distinct lines are written once: what follows reads them three times,
+    and shuffling all lines by their text is the dearest step here.
+    """
+    valid = with_batch_seq(evaluated.filter(none_of(_event_faults())), plan)
     order = [F.asc("batch_seq"), F.asc("source_file"), F.asc("ingested_at")]
     unique = distinct_lines(valid, "raw_line", order).select(
         F.trim("user_id").alias("user_id"),
@@ -174,7 +184,7 @@ def clickstream_events(
         "source_file",
         "batch_id",
     )
-    marked = mark_session_moments(unique)
+    marked = mark_session_moments(written_table(unique, "distinct_events"))
     flags = flag_list(
         [
             ("E1", F.col("event_ts") > F.col("first_purchase_ts")),

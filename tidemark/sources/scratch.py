@@ -1,11 +1,14 @@
-"""Written intermediate tables: what is read back no longer depends on its lineage."""
+"""Written intermediate tables, and small lookup tables that ship with the code."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -22,3 +25,18 @@ def written_table(rows: DataFrame, name: str) -> DataFrame:
     path = scratch_path(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Lookup rows as literals in the plan: one task, however large the cluster.
+
+    Times are given as text, so no time zone of the driver gets in.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    literals = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return (
+        spark.range(0, 1, 1, 1).select(F.explode(F.array(*literals)).alias("row")).select("row.*")
+    )
