@@ -136,6 +136,26 @@ def test_calendar(spark):
     assert (row.days, row.seconds, row.month) == (1, 1, "2018-01")
 
 
+def test_wall_clock_times_ignore_the_session_time_zone(spark):
+    zone = "spark.sql.session.timeZone"
+    before = spark.conf.get(zone)
+    spark.conf.set(zone, "America/Sao_Paulo")  # where this hour was skipped
+    try:
+        row = spark.sql(
+            "select timestamp_ntz'2017-10-15 00:30:00' t, timestamp_ntz'2017-10-14 23:30:00' s"
+        ).select(
+            calendar.second_label(F.col("t")).alias("second"),
+            calendar.month_label(F.col("t")).alias("month"),
+            calendar.elapsed_seconds(F.col("t"), F.col("s")).alias("seconds"),
+            calendar.calendar_days(F.col("t"), F.col("s")).alias("days"),
+        ).first()
+        assert tuple(row) == ("2017-10-15 00:30:00", "2017-10", 3600, 1)
+        years = spark.sql("select timestamp_ntz'2018-01-01' e, timestamp_ntz'1998-01-01' s")
+        assert years.select(calendar.elapsed_seconds(F.col("e"), F.col("s"))).first()[0] == 7305 * 86400
+    finally:
+        spark.conf.set(zone, before)
+
+
 def test_measures(spark):
     assert evaluate(spark, [0, 4], lambda c: measures.ratio(F.lit(1), c), "int") == [None, 0.25]
     assert evaluate(spark, [29, 30], measures.is_small_sample, "int") == [True, False]

@@ -44,8 +44,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shifted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events near the orders in time; some are put at midnight, so that instants repeat."""
     shifted = F.col("ts") - F.expr(f"interval {EVENT_SHIFT_DAYS} days")
-    at = F.when(F.col("event_id") % 11 == 0, F.date_trunc("day", shifted).cast("timestamp_ntz"))
-    return table(spark, sf_dir, "events").withColumn("ts", F.coalesce(at, shifted))
+    midnight = shifted.cast("date").cast("timestamp_ntz")
+    moved = F.when(F.col("event_id") % 11 == 0, midnight).otherwise(shifted)
+    return table(spark, sf_dir, "events").withColumn("ts", moved)
 
 
 def web_line(stamp: str, day: str) -> str:

@@ -20,7 +20,17 @@ def calendar_days(end: Column, start: Column) -> Column:
 
 
 def month_label(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM")
+    """``yyyy-MM`` of a date or wall-clock time.
+
+    Taken from its text: ``date_format`` would go through the session's time
+    zone, where an hour may not exist.
+    """
+    return F.substring(value.cast("string"), 1, 7)
+
+
+def second_label(value: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a wall-clock time."""
+    return F.substring(value.cast("string"), 1, 19)
 
 
 def lenient_date(value: Column) -> Column:
@@ -39,5 +49,5 @@ def lenient_timestamp(value: Column) -> Column:
 
 
 def elapsed_seconds(end: Column, start: Column) -> Column:
-    """Whole seconds elapsed, fraction dropped."""
-    return F.timestamp_diff("SECOND", start, end)
+    """Whole seconds between two wall-clock times, fraction dropped."""
+    return (end - start).cast("interval second").cast("bigint")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.calendar import second_label
 from tidemark.functions.casting import (
     boolean_from_number_words,
     cast_failed,
@@ -204,7 +205,7 @@ def event_key() -> Column:
     """Session, time to the second, type and product; not unique by construction."""
     return joined_key(
         F.col("session_id"),
-        F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss"),
+        second_label(F.col("event_ts")),
         F.col("event_type"),
         F.coalesce(F.col("product_id"), F.lit("none")),
     )
