@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def map_arrow(frame: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(frame: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows."""
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return frame.mapInArrow(each, schema)
@@ -51,7 +52,7 @@ def map_arrow(frame: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Itera
 def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches that hold about ``most`` bytes of the column each."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         begin = held = 0
         for row, length in enumerate(lengths):
             if row > begin and held + length > most:

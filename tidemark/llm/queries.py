@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact, packing, tokens
+from tidemark.llm import chat, exact, fingerprints, packing, secrets, tokens, toxicity
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,19 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(read_table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return toxicity.scored(documents, toxicity.trained(documents, read_table(spark, sf_dir, "labels")))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_digests(secrets.secret_spans(read_table(spark, sf_dir, "documents")))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -43,6 +56,6 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op6_byte_bpe, op7_packing, op9_exact_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op3_fingerprints, op4_toxicity, op5_secrets, op6_byte_bpe, op7_packing, op9_exact_dedup)}
 
 ORACLES: dict[str, str] = {"op1_chat_formatting": chat.ORACLE, "op9_exact_dedup": exact.ORACLE}
