@@ -128,7 +128,10 @@ def span_digests(spans: DataFrame) -> DataFrame:
     def joined(some: F.Column) -> F.Column:
         return F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in BASE_RULES]
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(r.kind) for r in BASE_RULES]
     return spans.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
