@@ -71,6 +71,17 @@ class Words:
     languages: np.ndarray
     starts: np.ndarray
 
+    @classmethod
+    def of_many(cls, texts: list[str]) -> Words:
+        """``of`` for more texts than are to be hashed at once."""
+        parts = [cls.of(texts[at : at + BATCH]) for at in range(0, len(texts), BATCH)]
+        before = np.cumsum([0, *(len(p.features) for p in parts[:-1])])
+        return cls(
+            np.concatenate([p.features for p in parts]),
+            np.concatenate([p.languages for p in parts]),
+            np.concatenate([p.starts + n for p, n in zip(parts, before)]),
+        )
+
     @classmethod
     def of(cls, texts: list[str]) -> Words:
         parts = [t.lower().encode("utf-8", "replace") for t in texts]
@@ -148,7 +159,7 @@ def fitted(texts: list[str], toxic: list[int], seed: int = 1) -> Model:
     labels = np.array(toxic, np.float32)
     if len(set(toxic)) < 2:
         return Model(constant=float(labels.mean()) if len(labels) else 0.0)
-    words = Words.of(texts)
+    words = Words.of_many(texts)
     starts, ends = words.starts, np.append(words.starts[1:], len(words.features))
     apart = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) % 5 == 0 for t in texts])
     if len(set(labels[~apart])) < 2 or min((labels[apart] == k).sum() for k in (0, 1)) < LEAST_OF_CLASS:
