@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact, fingerprints, packing, passages, secrets, suffixes, tokens, toxicity
+from tidemark.llm import chat, exact, fingerprints, jaccard, packing, passages, secrets, suffixes, tokens, toxicity
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(read_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_copies(read_table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_earlier_passages(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_suffix_dedup, op3_fingerprints, op4_toxicity, op5_secrets, op6_byte_bpe, op7_packing, op9_exact_dedup, op10_substring_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_suffix_dedup, op3_fingerprints, op4_toxicity, op5_secrets, op6_byte_bpe, op7_packing, op8_jaccard_join, op9_exact_dedup, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {"op1_chat_formatting": chat.ORACLE, "op9_exact_dedup": exact.ORACLE}

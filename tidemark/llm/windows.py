@@ -151,8 +151,9 @@ def packed_strings(rows: DataFrame, shape: Shape) -> DataFrame:
     ids are the string's 128-bit digest.
     """
     anchors = map_arrow(rows.select("row", "text"), _anchors(shape), "key long, row long, number int")
-    repeated = anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    wanted = anchors.join(repeated, "key", "left_semi").groupBy("row").agg(F.collect_set("number").alias("numbers"))
+    repeated = anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("twice"))
+    # null-safe equality gives the join shuffles of its own, of which Spark can split a hot key's
+    wanted = anchors.join(repeated, F.col("key").eqNullSafe(F.col("twice")), "left_semi").groupBy("row").agg(F.collect_set("number").alias("numbers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, "packed", 1 << 20):
