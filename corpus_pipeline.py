@@ -5,19 +5,37 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, packing
-from tidemark.llm.common import stored
+from tidemark.llm import exact, jaccard, packing, secrets, toxicity
+from tidemark.llm.common import read_table, stored
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, toxicity.trained(docs, read_table(spark, sf_dir, "labels")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.without_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.without_similar(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.without_secrets(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("exact dedup", drop_copies), ("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("secret scans", mask_secrets),
+    ("packing", pack),
+]
 
 #: A trained classifier and a tokenizer's file are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
