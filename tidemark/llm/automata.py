@@ -22,6 +22,8 @@ class _Parser:
         return self.pattern[self.at : self.at + 1]
 
     def _take(self) -> str:
+        if self.at >= len(self.pattern):
+            raise ValueError(f"{self.pattern} ends too early")
         self.at += 1
         return self.pattern[self.at - 1]
 
