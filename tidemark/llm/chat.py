@@ -73,19 +73,15 @@ def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     leaves = stored(leaves)
     jumps = []
     for _ in range(ROUNDS):
-        jumps.append(step.select("tree_id", "node_id", "up"))
-        if step.where("up IS NOT NULL").isEmpty():
+        going = step.where("up IS NOT NULL")  # only these are joined again: most paths are short
+        if going.isEmpty():
             break
+        jumps.append(going.select("tree_id", "node_id", "up"))
         far = step.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("plus"))
-        step = stored(
-            step.join(far, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left").select(
-                "tree_id",
-                "node_id",
-                F.col("next").alias("up"),
-                (F.col("steps") + F.coalesce("more", F.lit(0).cast("long"))).alias("steps"),
-                (F.col("total") + F.coalesce("plus", F.lit(0.0))).alias("total"),
-            )
+        further = going.join(far, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n"))).select(
+            "tree_id", "node_id", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("total") + F.col("plus")).alias("total")
         )
+        step = stored(step.where("up IS NULL").unionByName(further))
     else:
         raise ValueError(f"a path is longer than 2^{ROUNDS} messages, or replies form a circle")
     best = Window.partitionBy("tree_id").orderBy(F.col("total").desc(), F.col("leaf"))
@@ -97,8 +93,8 @@ def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
         .select("tree_id", "branch", F.col("leaf").alias("node_id"))
     )
     # from the longest jumps to the shortest: each round adds the far ends of one length
-    for jump in reversed(jumps[:-1]):
-        ends = jump.where("up IS NOT NULL").select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up")
+    for jump in reversed(jumps):
+        ends = jump.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), "up")
         added = marked.join(ends, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("node_id") == F.col("n"))).select("tree_id", "branch", F.col("up").alias("node_id"))
         marked = stored(marked.unionByName(added))
     depth = step.select(F.col("tree_id").alias("dt"), F.col("node_id").alias("dn"), (F.col("steps") - 1).alias("place"))
