@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Rows and UTF-8 bytes that a Python worker holds at once (one longer text is a batch of its own).
 BATCH_ROWS = 1000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
