@@ -295,9 +295,7 @@ def _bodies() -> dict[str, str]:
               CASE WHEN json_valid(raw_json) THEN json_extract(raw_json, '$.deal') END AS deal
             FROM (SELECT * EXCLUDE (raw_json), {i.SPOILED_JSON} AS raw_json FROM spoiled_leads))""",
         "nest_to_json": f"SELECT {RAW_JSON} AS raw_json, batch_id FROM replayed_leads",
-        "csv_roundtrip": """
-          SELECT order_id, customer_id, order_status, order_purchase_timestamp, batch_id, source_file
-          FROM raw_orders WHERE batch_id <> '2001-06'""",
+        "csv_roundtrip": "SELECT * FROM raw_orders",
         "audit_columns": "SELECT * FROM raw_payments",
         "partition_overwrite": f"""
           SELECT * EXCLUDE (payment_type),

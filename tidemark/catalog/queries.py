@@ -58,15 +58,14 @@ def nest_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as CSV per batch and back; one planned batch has no file."""
-    columns = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
-    orders = inputs.raw_orders(spark, sf_dir).filter(F.col("batch_id") != "2001-06")
+    """All orders as CSV per batch and back; a batch that has no file is skipped."""
+    orders = inputs.raw_orders(spark, sf_dir)
+    columns = [c for c in orders.columns if c not in ("batch_id", "source_file")]
     root = scratch_path(spark, "csv")
     for batch_id in BATCHES.ids:
-        if batch_id != "2001-06":
-            one_batch = orders.filter(F.col("batch_id") == batch_id).select(*columns)
-            raw_csv.write_batch_csv(one_batch, root, batch_id, "orders.csv")
-    return raw_csv.read_batch_csv(spark, root, BATCHES.ids, "orders.csv", columns)
+        one_batch = orders.filter(F.col("batch_id") == batch_id).select(*columns)
+        raw_csv.write_batch_csv(one_batch, root, batch_id, "orders.csv")
+    return raw_csv.read_batch_csv(spark, root, [*BATCHES.ids, "no-such-batch"], "orders.csv", columns)
 
 
 @query

@@ -23,8 +23,6 @@ from tidemark.operators.latest import first_per_key
 from tidemark.operators.skew import lookup_join
 from tidemark.plans.contract import conform
 
-# A calendar holds at most this many days, which bounds its broadcast.
-LONGEST_CALENDAR_DAYS = 10_000
 # Order states and funnel steps.
 CANCELED_STATES = ("canceled", "unavailable")
 DELIVERED, SHIPPED = "delivered", "shipped"
@@ -49,12 +47,9 @@ def dim_date(
 
 def calendar_from(first_day: DataFrame, last_day: str) -> DataFrame:
     """Days from the single value of ``first_day`` to ``last_day``; none if it starts later."""
-    end = F.least(
-        F.lit(last_day).cast("date"), F.date_add("first_day", LONGEST_CALENDAR_DAYS - 1)
-    )
-    days = (
-        first_day.filter(F.col("first_day") <= F.lit(last_day).cast("date"))
-        .select(F.explode(F.sequence("first_day", end)).alias("date"))
+    end = F.lit(last_day).cast("date")
+    days = first_day.filter(F.col("first_day") <= end).select(
+        F.explode(F.sequence("first_day", end)).alias("date")
     )
     return days.select(
         "date",
@@ -109,7 +104,7 @@ def chosen_reviews(silver_reviews: DataFrame) -> DataFrame:
 def fact_order(
     silver_orders: DataFrame, silver_items: DataFrame, silver_reviews: DataFrame, plan: BatchPlan
 ) -> DataFrame:
-    """One row per order. All three inputs of the join are unique per order."""
+    """One row per order; orders without an id match nothing and may be many."""
     status, flags = F.col("order_status"), F.col("dq_flag")
     purchase = F.col("order_purchase_timestamp")
     carrier = F.col("order_delivered_carrier_date")
@@ -129,9 +124,8 @@ def fact_order(
         & customer.isNull()
         & (estimate.cast("date") <= F.lit(plan.cutoff_date).cast("date"))
     )
-    joined = silver_orders.join(order_items_rollup(silver_items), "order_id", "left").join(
-        chosen_reviews(silver_reviews), "order_id", "left"
-    )
+    with_items = lookup_join(silver_orders, order_items_rollup(silver_items), ["order_id"], "left")
+    joined = lookup_join(with_items, chosen_reviews(silver_reviews), ["order_id"], "left")
     return conform(
         joined.select(
             "order_id",
@@ -227,10 +221,11 @@ def _dense_by_month(calendar: DataFrame, figures: DataFrame, components: Sequenc
 def _on_calendar(facts: DataFrame, day: str, calendar: DataFrame) -> DataFrame:
     """Facts with their month; facts outside the calendar drop out.
 
-    The calendar has at most ``LONGEST_CALENDAR_DAYS`` rows, so it is broadcast.
+    A day with a large share of the facts can be split; Spark broadcasts the days
+    where their measured size allows it.
     """
     days = calendar.select(F.col("date").alias(day), "year_month")
-    return facts.join(F.broadcast(days), day, "inner")
+    return lookup_join(facts, days, [day], "inner")
 
 
 def with_customer_state(

@@ -165,13 +165,15 @@ def mark_session_moments(
 def clickstream_events(
     evaluated: DataFrame, plan: BatchPlan
 ) -> DataFrame:
-    """One row per distinct log line.
+    """One row per distinct log line; lines of batches that are not planned rank last and stay.
 
     The distinct lines are written once: what follows reads them three times,
     and shuffling all lines by their text is the dearest step here.
     """
-    valid = with_batch_seq(evaluated.filter(none_of(_event_faults())), plan)
-    order = [F.asc("batch_seq"), F.asc("source_file"), F.asc("ingested_at")]
+    valid = evaluated.filter(none_of(_event_faults())).withColumn(
+        "batch_seq", plan.position_of(F.col("batch_id"))
+    )
+    order = [F.asc_nulls_last("batch_seq"), F.asc("source_file"), F.asc("ingested_at")]
     unique = distinct_lines(valid, "raw_line", order).select(
         F.trim("user_id").alias("user_id"),
         F.trim("session_id").alias("session_id"),
