@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -383,3 +383,22 @@ def test_batches_from_raw_files(spark, tmp_path):
     assert runs.filter("status = 'success' and rows_out > 0").count() == 3
     with pytest.raises(pipeline.BatchOrderError, match="2018-07 is failed"):
         pipeline.run_batch(spark, root, "2018-08")
+
+
+def test_calendar_has_no_longest_length(spark):
+    first = spark.sql("SELECT DATE'1970-01-01' AS first_day")
+    row = gold.calendar_from(first, "2018-08-31").selectExpr("count(*) AS n", "max(date) AS last").first()
+    assert (row.n, str(row.last)) == (17775, "2018-08-31")
+
+
+def test_events_of_unplanned_batches_stay(spark):
+    columns = (
+        "user_id string, session_id string, order_id string, product_id string, outcome string, event_type string, "
+        "amount double, event_ts timestamp_ntz, raw_line string, is_parsed boolean, batch_id string, source_file string, ingested_at timestamp"
+    )
+    rows = [
+        ("u", "s", None, None, None, "home", None, datetime(2018, 6, 1), line, True, batch, "f", datetime(2018, 7, 1))
+        for line, batch in (("a", "2018-06"), ("b", "2019-01"), ("c", None), ("a", "2019-01"))
+    ]
+    events = silver.clickstream_events(silver.evaluate_events(spark.createDataFrame(rows, columns)), PLAN)
+    assert sorted((r.batch_id or "") for r in events.collect()) == ["", "2018-06", "2019-01"]

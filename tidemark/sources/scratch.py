@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -14,9 +15,14 @@ from pyspark.sql import types as T
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the cluster names for checkpoints.
 
-    Only a session without one (a test on one machine) gets a local folder.
+    Without one only a session on this machine alone (a test) gets a local folder; a cluster's
+    executors would each write to their own disk, so there it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
