@@ -332,7 +332,8 @@ REVIEW_ID = (
 )
 REVIEW_SCORE = (
     "CASE WHEN l_partkey % 331 = 0 THEN 'five' "
-    "ELSE CAST(1 + CAST(l_quantity AS INT) % 5 AS STRING) END"
+    "ELSE CAST(1 + CAST(l_quantity AS INT) % 5 AS STRING) "
+    "|| CASE WHEN l_partkey % 13 = 0 THEN '.0' ELSE '' END END"
 )
 REVIEW_ANSWER = (
     "CASE WHEN l_returnflag = 'N' AND l_linenumber % 2 = 0 THEN CAST(NULL AS STRING) "
@@ -370,10 +371,25 @@ LENGTH_CM = "CAST(nullif(p_size % 7, 0) AS STRING)"
 CITY = "'  ' || upper(n_name) || '   Town '"
 
 
+REEXPORTED = "{} % 10 = 3"
+EARLY, LATER = BATCHES.ids[0], BATCHES.ids[2]
+
+
+def exported_twice(rows: DataFrame, key: str) -> DataFrame:
+    """Every row with its batch; a tenth come early, when ``is_final`` is false, and again later."""
+    again = F.expr(REEXPORTED.format(key))
+    once = F.struct(F.lit(EARLY).alias("batch_id"), F.lit(True).alias("is_final"))
+    early = F.struct(F.lit(EARLY).alias("batch_id"), F.lit(False).alias("is_final"))
+    later = F.struct(F.lit(LATER).alias("batch_id"), F.lit(True).alias("is_final"))
+    versions = F.when(again, F.array(early, later)).otherwise(F.array(once))
+    return rows.withColumn("version", F.explode(versions)).select("*", "version.*").drop("version")
+
+
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+    parts = exported_twice(table(spark, sf_dir, "part"), "p_partkey")
+    return parts.select(
         F.expr("CAST(p_partkey AS STRING)").alias("product_id"),
-        F.expr(CATEGORY).alias("product_category_name"),
+        F.expr(f"CASE WHEN is_final THEN {CATEGORY} ELSE 'old' END").alias("product_category_name"),
         F.expr("CAST(length(p_name) AS STRING)").alias("product_name_lenght"),
         F.expr("CAST(p_size * 10 AS STRING)").alias("product_description_lenght"),
         F.expr("CAST(p_size % 5 AS STRING)").alias("product_photos_qty"),
@@ -382,7 +398,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CAST(p_size AS STRING)").alias("product_height_cm"),
         F.expr("CAST(p_size + 1 AS STRING)").alias("product_width_cm"),
         F.lit("products.csv").alias("source_file"),
-        F.lit(BATCHES.ids[0]).alias("batch_id"),
+        "batch_id",
     )
 
 
@@ -406,29 +422,35 @@ def _with_place(rows: DataFrame, nation_key: str, spark: SparkSession, sf_dir: s
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = _with_place(table(spark, sf_dir, "customer"), "c_nationkey", spark, sf_dir)
-    return placed.select(
+    return exported_twice(placed, "c_custkey").select(
         F.expr("CAST(c_custkey AS STRING)").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
+        F.expr("CASE WHEN is_final THEN c_name ELSE 'old' END").alias("customer_unique_id"),
         F.expr("lpad(CAST(c_nationkey AS STRING), 5, '0')").alias("customer_zip_code_prefix"),
         F.expr(CITY).alias("customer_city"),
-        F.col("r_name").alias("customer_state"),
+        F.expr("CASE WHEN is_final THEN r_name ELSE 'OLD' END").alias("customer_state"),
         F.lit("customers.csv").alias("source_file"),
-        F.lit(BATCHES.ids[0]).alias("batch_id"),
+        "batch_id",
     )
 
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = _with_place(table(spark, sf_dir, "supplier"), "s_nationkey", spark, sf_dir)
-    return placed.select(
+    return exported_twice(placed, "s_suppkey").select(
         F.expr("CAST(s_suppkey AS STRING)").alias("seller_id"),
         F.expr("lpad(CAST(s_nationkey AS STRING), 5, '0')").alias("seller_zip_code_prefix"),
         F.expr(CITY).alias("seller_city"),
-        F.col("r_name").alias("seller_state"),
+        F.expr("CASE WHEN is_final THEN r_name ELSE 'OLD' END").alias("seller_state"),
         F.lit("sellers.csv").alias("source_file"),
-        F.lit(BATCHES.ids[0]).alias("batch_id"),
+        "batch_id",
     )
 
 
+# Points of even postal prefixes came partly with a later batch.
+POINT_BATCH = (
+    f"CASE WHEN c_nationkey % 2 = 0 AND c_custkey % 4 = 1 THEN '{LATER}' ELSE '{EARLY}' END"
+)
+
+
 def raw_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A point per customer: the postal prefix is the nation, the position its balance."""
     placed = _with_place(table(spark, sf_dir, "customer"), "c_nationkey", spark, sf_dir)
@@ -438,7 +460,7 @@ def raw_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CAST(-c_custkey AS STRING)").alias("geolocation_lng"),
         F.expr("c_mktsegment").alias("geolocation_city"),
         F.col("r_name").alias("geolocation_state"),
-        F.lit(BATCHES.ids[0]).alias("batch_id"),
+        F.expr(POINT_BATCH).alias("batch_id"),
     )
 
 

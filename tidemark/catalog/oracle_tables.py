@@ -15,6 +15,13 @@ from tidemark.sources.raw_leads import DEAL_FIELDS, LEAD_FIELDS
 from tidemark.sources.raw_logs import LOG_LINE
 
 BULK, *_, FINAL = i.BATCHES.ids
+
+
+def exported_in(key: str) -> str:
+    """The batch of the newest export of a row."""
+    return f"CASE WHEN {i.REEXPORTED.format(key)} THEN '{i.LATER}' ELSE '{BULK}' END AS batch_id"
+
+
 CUTOFF_DATE = i.BATCHES.cutoff_date
 CUTOFF = i.BATCHES.cutoff_timestamp
 
@@ -175,7 +182,18 @@ def happened(value: str) -> str:
 
 
 def _typed(columns: dict[str, str]) -> str:
-    return ", ".join(f"{safe_cast(f'r.{n}', kind)} AS {n}" for n, kind in columns.items())
+    return ", ".join(
+        f"{whole_number(f'r.{n}') if kind == WHOLE else safe_cast(f'r.{n}', kind)} AS {n}"
+        for n, kind in columns.items()
+    )
+
+
+WHOLE = "whole number"
+
+
+def whole_number(value: str) -> str:
+    number = safe_cast(value, "DOUBLE")
+    return f"CASE WHEN {number} = floor({number}) THEN TRY_CAST({number} AS INT) END"
 
 
 ITEM_TYPES = {
@@ -190,7 +208,7 @@ PAYMENT_TYPES = {
     "payment_value": "DECIMAL(10, 2)",
 }
 REVIEW_TYPES = {
-    "review_score": "INT",
+    "review_score": WHOLE,
     "review_creation_date": "TIMESTAMP",
     "review_answer_timestamp": "TIMESTAMP",
 }
@@ -456,10 +474,15 @@ TABLES = {
             ('D7', "order_status = 'delivered' AND carrier IS NULL"),
         ] + [failed(f'raw_{n}', n) for n in ORDER_TIMES])} AS dq_flag,
         source_file, batch_id
-      FROM (SELECT *, {happened('order_approved_at')} AS approved,
-              {happened('order_delivered_carrier_date')} AS carrier,
-              {happened('order_delivered_customer_date')} AS customer
-            FROM latest_orders)""",
+      FROM (SELECT * REPLACE (CASE WHEN order_status = 'delivered'
+                AND order_delivered_customer_date > TIMESTAMP '{CUTOFF}'
+              THEN CASE WHEN carrier IS NOT NULL THEN 'shipped'
+                WHEN approved IS NOT NULL THEN 'approved' ELSE 'created' END
+              ELSE order_status END AS order_status)
+            FROM (SELECT *, {happened('order_approved_at')} AS approved,
+                    {happened('order_delivered_carrier_date')} AS carrier,
+                    {happened('order_delivered_customer_date')} AS customer
+                  FROM latest_orders))""",
     "raw_items": f"""
       SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS order_item_id,
         CAST(product AS VARCHAR) AS product_id, CAST(seller AS VARCHAR) AS seller_id,
@@ -538,8 +561,8 @@ TABLES = {
         product_width_cm,
         {codes(',', [('PR1', 'p.product_category_name IS NULL'), ('PR2', 'weight = 0'),
                      ('PR3', 'product_length_cm IS NULL')])} AS dq_flag,
-        'products.csv' AS source_file, '{BULK}' AS batch_id
-      FROM (SELECT CAST(p_partkey AS VARCHAR) AS product_id, {i.CATEGORY} AS product_category_name,
+        'products.csv' AS source_file, {exported_in('p_partkey')}
+      FROM (SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS product_id, {i.CATEGORY} AS product_category_name,
               CAST(length(p_name) AS INT) AS product_name_length,
               CAST(p_size * 10 AS INT) AS product_description_length,
               CAST(p_size % 5 AS INT) AS product_photos_qty, CAST(p_size - 1 AS INT) AS weight,
@@ -551,14 +574,14 @@ TABLES = {
       SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
         lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
         lower(n_name) || ' town' AS customer_city, r_name AS customer_state,
-        'customers.csv' AS source_file, '{BULK}' AS batch_id
+        'customers.csv' AS source_file, {exported_in('c_custkey')}
       FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
       LEFT JOIN region ON n_regionkey = r_regionkey""",
     "silver_sellers": f"""
       SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
         lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
         lower(n_name) || ' town' AS seller_city, r_name AS seller_state,
-        'sellers.csv' AS source_file, '{BULK}' AS batch_id
+        'sellers.csv' AS source_file, {exported_in('s_suppkey')}
       FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
       LEFT JOIN region ON n_regionkey = r_regionkey""",
     # --- gold

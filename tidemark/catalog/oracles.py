@@ -31,7 +31,7 @@ from tidemark.operators.checks import (
 )
 from tidemark.operators.compare import NOT_METRICS
 from tidemark.plans import seeds
-from tidemark.plans.contract import GOLD_COLUMNS, GOLD_KEYS, columns_of
+from tidemark.plans.contract import GOLD_COLUMNS, GOLD_KEYS, KPI_TABLES, columns_of
 from tidemark.sources.raw_leads import DEAL_FIELDS
 
 LINE_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate"
@@ -54,6 +54,13 @@ SUBQUERY = {
 }
 
 
+def exported(name: str, source: str, key: str) -> str:
+    """Raw rows per batch of a table whose rows partly come again."""
+    return f"""UNION ALL SELECT '{name}', '{BULK}', count(*) FROM {source}
+              UNION ALL SELECT '{name}', '{i.LATER}', count(*) FROM {source}
+              WHERE {i.REEXPORTED.format(key)}"""
+
+
 def from_table(name: str) -> str:
     return f"SELECT {', '.join(columns_of(name))} FROM {SUBQUERY.get(name, name)}"
 
@@ -318,9 +325,7 @@ def _bodies() -> dict[str, str]:
         "post_cutoff_quarantine": f"""
           SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
           WHERE l_shipdate > TIMESTAMP '{CUTOFF}'""",
-        "kpi_unpivot_long": union(
-            metrics_of(t) for t in ("kpi_funnel_month", "kpi_funnel_day", "kpi_lead_origin")
-        ),
+        "kpi_unpivot_long": union(metrics_of(t) for t in KPI_TABLES),
         "upsert_latest": """
           SELECT run_id, batch_id, CASE WHEN rows_in % 70 = 0 THEN 'success' ELSE status END AS status,
             failed_model, rows_in, rows_out, started_at,
@@ -470,7 +475,8 @@ def _bodies() -> dict[str, str]:
         "geo_rollup": f"""
           WITH p AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip,
               lower(c_mktsegment) AS city, r_name AS state,
-              CAST(c_acctbal AS DECIMAL(12,2)) AS lat, -c_custkey AS lng
+              CAST(c_acctbal AS DECIMAL(12,2)) AS lat, -c_custkey AS lng,
+              {i.POINT_BATCH} AS batch_id
             FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
             LEFT JOIN region ON n_regionkey = r_regionkey),
           named AS (SELECT * FROM (SELECT zip, city, state, count(*) AS n FROM p GROUP BY ALL)
@@ -478,8 +484,9 @@ def _bodies() -> dict[str, str]:
           SELECT g.zip AS geolocation_zip_code_prefix,
             round(CAST(g.lat AS DOUBLE) / g.n_points, 6) AS geolocation_lat,
             round(CAST(g.lng AS DOUBLE) / g.n_points, 6) AS geolocation_lng,
-            city AS geolocation_city, state AS geolocation_state, g.n_points, '{BULK}' AS batch_id
-          FROM (SELECT zip, sum(lat) AS lat, sum(lng) AS lng, count(*) AS n_points
+            city AS geolocation_city, state AS geolocation_state, g.n_points, batch_id
+          FROM (SELECT zip, sum(lat) AS lat, sum(lng) AS lng, count(*) AS n_points,
+                  arg_max(batch_id, {seq_of('batch_id')}) AS batch_id
                 FROM p GROUP BY 1) g JOIN named ON g.zip = named.zip""",
         # --- tables
         **{key: from_table(name) for key, name in q.TABLE_QUERIES.items()},
@@ -488,12 +495,12 @@ def _bodies() -> dict[str, str]:
             batch_id, source_file, reject_reason
           FROM evaluated_leads WHERE reject_reason IS NOT NULL""",
         "silver_events_rejects": "SELECT * FROM evaluated_events WHERE reject_reason IS NOT NULL",
-        "silver_parties": """
-          SELECT 'customer' AS kind, customer_id AS party_id, customer_city AS city,
-            customer_state AS state FROM silver_customers
-          UNION ALL SELECT 'seller', seller_id, seller_city, seller_state FROM silver_sellers
-          UNION ALL SELECT 'category', product_category_name, NULL, product_category_name_english
-          FROM silver_translation""",
+        "silver_parties": union(
+            f"SELECT '{name}' AS table_name, {columns_of(name)[0]} AS party_id, "
+            f"'{column}' AS column_name, {column} AS value FROM {SUBQUERY[name]}"
+            for name in q.PARTIES
+            for column in columns_of(name)[1:]
+        ),
         # --- checks
         "dq_not_null": union(
             f"SELECT '{c}' AS check_name, count(*) FILTER (WHERE {c} IS NULL) AS violations "
@@ -697,7 +704,12 @@ def _bodies() -> dict[str, str]:
               UNION ALL SELECT 'order_items', batch_id, count(*) FROM raw_items GROUP BY 2
               UNION ALL SELECT 'order_payments', batch_id, count(*) FROM raw_payments GROUP BY 2
               UNION ALL SELECT 'order_reviews', batch_id, count(*) FROM raw_reviews GROUP BY 2
-              UNION ALL SELECT 'customers', '{BULK}', count(*) FROM customer
+              {exported('customers', 'customer', 'c_custkey')}
+              {exported('products', 'part', 'p_partkey')}
+              {exported('sellers', 'supplier', 's_suppkey')}
+              UNION ALL SELECT 'product_category_translation', '{BULK}', count(*) FROM silver_translation
+              UNION ALL SELECT 'geolocation', {i.POINT_BATCH}, count(*) FROM customer GROUP BY 2
+              UNION ALL SELECT 'marketing_leads', batch_id, count(*) FROM bronze_leads GROUP BY 2
               UNION ALL SELECT 'clickstream', batch_id, count(*) FROM web_lines GROUP BY 2),
             pairs AS (
               SELECT table_name, batch_id, CAST(coalesce(n, 0) AS BIGINT) AS actual_rows,

@@ -15,7 +15,7 @@ from tidemark.operators import batches as batch_ops
 from tidemark.operators import checks, compare, latest, sets
 from tidemark.operators.skew import lookup_join
 from tidemark.plans import gold, seeds, silver
-from tidemark.plans.contract import GOLD_COLUMNS, GOLD_KEYS, KPI_TABLES
+from tidemark.plans.contract import GOLD_COLUMNS, GOLD_KEYS, KPI_TABLES, columns_of
 from tidemark.sources import ledger, raw_csv, raw_leads, raw_logs, tables
 from tidemark.sources.scratch import scratch_path
 
@@ -118,11 +118,11 @@ def post_cutoff_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_unpivot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The funnel and lead KPIs as one sorted list of metrics."""
-    t = Tables(spark, sf_dir, written=True)
+    """All KPI tables as one sorted list of metrics."""
+    t = Tables(spark, sf_dir)
     metrics = [
         compare.to_metrics(t[name], name, GOLD_KEYS[name])
-        for name in ("kpi_funnel_month", "kpi_funnel_day", "kpi_lead_origin")
+        for name in KPI_TABLES
     ]
     return checks.union_all(metrics).orderBy(*compare.METRIC_KEY)
 
@@ -289,7 +289,7 @@ def dq_flag_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_flag_incidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir, written=True)
+    t = Tables(spark, sf_dir)
     names = (
         "orders",
         "order_items",
@@ -464,7 +464,7 @@ def amount_matches_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir, written=True)
+    t = Tables(spark, sf_dir)
     return checks.foreign_key_orphans({n: t[n] for n in GOLD_COLUMNS if n not in KPI_TABLES})
 
 
@@ -508,7 +508,7 @@ TABLE_QUERIES = {
 
 def _table_query(key: str, name: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Tables(spark, sf_dir)[name]
+        return Tables(spark, sf_dir).build(name)
 
     run.__name__ = key
     query(run)
@@ -529,32 +529,23 @@ def silver_events_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.events_rejects(Tables(spark, sf_dir)["evaluated_events"]).drop("ingested_at")
 
 
+PARTIES = ("customers", "sellers", "product_category_translation")
+
+
 @query
 def silver_parties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, sellers and category names in one list."""
+    """Every column of customers, sellers and category names, one row per party and column."""
     t = Tables(spark, sf_dir)
 
-    def parties(kind: str, rows: DataFrame, key: str, city: str, state: str) -> DataFrame:
-        return rows.select(
-            F.lit(kind).alias("kind"),
-            F.col(key).alias("party_id"),
-            (F.col(city) if city else F.lit(None).cast("string")).alias("city"),
-            F.col(state).alias("state"),
+    def cells(name: str) -> DataFrame:
+        key, *others = columns_of(name)
+        return (
+            t.build(name)
+            .unpivot([key], others, "column_name", "value")
+            .select(F.lit(name).alias("table_name"), F.col(key).alias("party_id"), "column_name", "value")
         )
 
-    return checks.union_all(
-        [
-            parties("customer", t["customers"], "customer_id", "customer_city", "customer_state"),
-            parties("seller", t["sellers"], "seller_id", "seller_city", "seller_state"),
-            parties(
-                "category",
-                t["product_category_translation"],
-                "product_category_name",
-                "",
-                "product_category_name_english",
-            ),
-        ]
-    )
+    return checks.union_all(cells(name) for name in PARTIES)
 
 
 # --- checks --------------------------------------------------------------------------------
@@ -603,7 +594,7 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The column and table checks of leads and events with their severities."""
-    t = Tables(spark, sf_dir, written=True)
+    t = Tables(spark, sf_dir)
     leads, events = t["leads"], t["clickstream_events"]
     bronze_leads = t["bronze_leads"]
     steps = list(gold.FUNNEL_STEPS)
@@ -661,7 +652,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.key_uniqueness(Tables(spark, sf_dir, written=True).gold(), GOLD_KEYS)
+    return checks.key_uniqueness(Tables(spark, sf_dir).gold(), GOLD_KEYS)
 
 
 @query
@@ -684,7 +675,7 @@ def fact_grain_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def layer_count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold against silver counts, and leads through bronze, silver and rejects."""
-    t = Tables(spark, sf_dir, written=True)
+    t = Tables(spark, sf_dir)
     silver_names = (
         "customers", "products", "sellers", "orders", "order_items", "leads", "clickstream_events",
     )
@@ -721,7 +712,7 @@ def layer_count_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def money_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir, written=True)
+    t = Tables(spark, sf_dir)
     totals = checks.money_totals(
         {n: t[n] for n in ("order_items", "clickstream_events")},
         {n: t[n] for n in ("fact_order", "fact_order_item", "fact_session")},
@@ -732,13 +723,13 @@ def money_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.kpi_additivity(Tables(spark, sf_dir, written=True).gold())
+    return checks.kpi_additivity(Tables(spark, sf_dir).gold())
 
 
 @query
 def kpi_flag_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI rows that break a rule, counted per table, after one flag was turned over."""
-    tampered = Tables(spark, sf_dir, written=True).gold()
+    tampered = Tables(spark, sf_dir).gold()
     tampered["kpi_lead_origin"] = tampered["kpi_lead_origin"].withColumn(
         "is_small_sample", ~F.col("is_small_sample")
     )
@@ -749,7 +740,7 @@ def kpi_flag_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def calendar_contiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The state of the calendar, and of one whose Mondays are missing."""
-    full = Tables(spark, sf_dir, written=True)["dim_date"]
+    full = Tables(spark, sf_dir)["dim_date"]
     without_mondays = full.filter(F.dayofweek("date") != 2)
     states = [("full", full), ("without mondays", without_mondays)]
     return checks.union_all(
@@ -787,7 +778,7 @@ def orphans_vs_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def expected_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flag counts beside the published ones."""
-    t = Tables(spark, sf_dir, written=True)
+    t = Tables(spark, sf_dir)
     codes = {
         "orders": ("D1", "D2", "D3", "D4", "D5", "D6", "D7"),
         "order_items": ("I1",),
@@ -821,6 +812,11 @@ def batch_row_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_payments": inputs.raw_payments,
         "order_reviews": inputs.raw_reviews,
         "customers": inputs.raw_customers,
+        "products": inputs.raw_products,
+        "sellers": inputs.raw_sellers,
+        "product_category_translation": inputs.raw_translation,
+        "geolocation": inputs.raw_points,
+        "marketing_leads": inputs.lead_lines,
         "clickstream": inputs.web_lines,
     }
     actual = checks.union_all(
@@ -835,7 +831,7 @@ def batch_row_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def layer_row_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir, written=True)
+    t = Tables(spark, sf_dir)
     silver_names = (
         "orders", "order_items", "order_payments", "order_reviews", "customers", "products",
         "sellers", "product_category_translation", "geolocation", "leads", "clickstream_events",

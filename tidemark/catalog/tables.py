@@ -12,23 +12,28 @@ from tidemark.sources.scratch import written_table
 
 
 class Tables:
-    """Tables over one folder, each planned once and shared by what reads it.
+    """Tables over one folder; what several models read is a finished table, as in a batch run.
 
-    Bronze is always a written table, as it is for a batch run. ``written``
-    also writes the tables that several others read, for checks that cover all
-    of gold.
+    A finished table is written once per session and folder, when it is first read, so
+    the input files must not change while a session runs. ``build`` computes one table
+    from the finished tables below it.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, written: bool = False) -> None:
-        self.spark, self.sf_dir, self.written = spark, sf_dir, written
-        self._frames: dict[str, DataFrame] = {}
+    _finished: dict[tuple[str, str, str], DataFrame] = {}
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def build(self, name: str) -> DataFrame:
+        return BUILDERS[name](self)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            frame = BUILDERS[name](self)
-            keep = name in BRONZE or (self.written and name in SHARED)
-            self._frames[name] = written_table(frame, name) if keep else frame
-        return self._frames[name]
+        if name not in FINISHED:
+            return self.build(name)
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if place not in self._finished:
+            self._finished[place] = written_table(self.build(name), name)
+        return self._finished[place]
 
     def raw(self, reader) -> DataFrame:
         return reader(self.spark, self.sf_dir)
@@ -37,10 +42,19 @@ class Tables:
         return {name: self[name] for name in GOLD_COLUMNS}
 
 
-BRONZE = ("bronze_leads", "bronze_events")
-SHARED = (
+FINISHED = (
+    "bronze_leads",
+    "bronze_events",
+    "bronze_orders",
+    "bronze_order_items",
+    "bronze_order_reviews",
+    "distinct_events",
     "orders",
     "order_items",
+    "order_reviews",
+    "customers",
+    "products",
+    "sellers",
     "leads",
     "clickstream_events",
     "dim_date",
@@ -56,22 +70,26 @@ BUILDERS = {
     "evaluated_leads": lambda t: silver.evaluate_leads(t["bronze_leads"]),
     "leads": lambda t: silver.leads(t["evaluated_leads"], BATCHES),
     "evaluated_events": lambda t: silver.evaluate_events(t["bronze_events"]),
-    "clickstream_events": lambda t: silver.clickstream_events(t["evaluated_events"], BATCHES),
-    "orders": lambda t: silver.orders(t.raw(inputs.raw_orders), BATCHES),
-    "order_items": lambda t: silver.order_items(t.raw(inputs.raw_items), t["orders"]),
+    "distinct_events": lambda t: silver.distinct_events(t["evaluated_events"], BATCHES),
+    "clickstream_events": lambda t: silver.clickstream_events(t["distinct_events"]),
+    "bronze_orders": lambda t: t.raw(inputs.raw_orders),
+    "bronze_order_items": lambda t: t.raw(inputs.raw_items),
+    "bronze_order_reviews": lambda t: t.raw(inputs.raw_reviews),
+    "orders": lambda t: silver.orders(t["bronze_orders"], BATCHES),
+    "order_items": lambda t: silver.order_items(t["bronze_order_items"], t["orders"]),
     "order_payments": lambda t: silver.order_payments(t.raw(inputs.raw_payments)),
     "order_reviews": lambda t: silver.order_reviews(
-        t.raw(inputs.raw_reviews), t["orders"], BATCHES
+        t["bronze_order_reviews"], t["orders"], BATCHES
     ),
     "product_category_translation": lambda t: silver.product_category_translation(
-        t.raw(inputs.raw_translation)
+        t.raw(inputs.raw_translation), BATCHES
     ),
     "products": lambda t: silver.products(
-        t.raw(inputs.raw_products), t["product_category_translation"]
+        t.raw(inputs.raw_products), t["product_category_translation"], BATCHES
     ),
-    "customers": lambda t: silver.customers(t.raw(inputs.raw_customers)),
-    "sellers": lambda t: silver.sellers(t.raw(inputs.raw_sellers)),
-    "geolocation": lambda t: silver.geolocation(t.raw(inputs.raw_points)),
+    "customers": lambda t: silver.customers(t.raw(inputs.raw_customers), BATCHES),
+    "sellers": lambda t: silver.sellers(t.raw(inputs.raw_sellers), BATCHES),
+    "geolocation": lambda t: silver.geolocation(t.raw(inputs.raw_points), BATCHES),
     "dim_date": lambda t: gold.dim_date(
         t["orders"], t["leads"], t["clickstream_events"], BATCHES
     ),

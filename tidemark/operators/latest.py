@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tidemark.operators.skew import with_group_values
 
 RANK = "__rank"
 LATEST = "__latest"
+POSITION = "__position"
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -47,6 +50,18 @@ def latest_row(
     return first_per_key(known, keys, [F.desc(sequence), *tie_order])
 
 
+def newest_version(rows: DataFrame, keys: Sequence[str], position: Column) -> DataFrame:
+    """One row per key: the highest position, rows without one last.
+
+    Equal positions are decided by the row itself, the greatest in column order. Rows
+    with a NULL key are no versions of each other: all of them stay.
+    """
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    order = [F.desc_nulls_last(POSITION), *[F.desc_nulls_last(c) for c in rows.columns if c not in keys]]
+    keyed = rows.filter(~no_key).withColumn(POSITION, position)
+    return first_per_key(keyed, keys, order).drop(POSITION).unionByName(rows.filter(no_key))
+
+
 def distinct_lines(
     rows: DataFrame, line: str, order: Sequence[Column]
 ) -> DataFrame:

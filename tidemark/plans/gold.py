@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -218,14 +218,22 @@ def _dense_by_month(calendar: DataFrame, figures: DataFrame, components: Sequenc
     return _months(calendar).join(figures, "year_month", "left").fillna(0, subset=list(components))
 
 
-def _on_calendar(facts: DataFrame, day: str, calendar: DataFrame) -> DataFrame:
-    """Facts with their month; facts outside the calendar drop out.
+def _by_month(
+    facts: DataFrame, day: str, calendar: DataFrame, sums: Mapping[str, Column], *slices: str
+) -> DataFrame:
+    """Sums per calendar month (and slice); facts outside the calendar drop out.
 
-    A day with a large share of the facts can be split; Spark broadcasts the days
-    where their measured size allows it.
+    The facts are summed per day before they meet the calendar, combined ahead of their
+    shuffle, so only a row per day and slice is joined and added up to months.
     """
+    per_day = facts.groupBy(day, *slices).agg(*[total.alias(name) for name, total in sums.items()])
     days = calendar.select(F.col("date").alias(day), "year_month")
-    return lookup_join(facts, days, [day], "inner")
+    types = {field.name: field.dataType for field in per_day.schema}
+    return (
+        per_day.join(days, day, "inner")
+        .groupBy(*slices, "year_month")
+        .agg(*[F.sum(name).cast(types[name]).alias(name) for name in sums])
+    )
 
 
 def with_customer_state(
@@ -239,16 +247,16 @@ def with_customer_state(
     )
 
 
-def _sales_components() -> list[Column]:
+def _sales_sums() -> dict[str, Column]:
     valid = F.col("is_valid_order")
-    return [
-        F.count(F.lit(1)).alias("n_orders_total"),
-        count_true(F.col("is_canceled")).alias("n_canceled_orders"),
-        count_true(valid).alias("n_valid_orders"),
-        F.coalesce(
+    return {
+        "n_orders_total": F.count(F.lit(1)),
+        "n_canceled_orders": count_true(F.col("is_canceled")),
+        "n_valid_orders": count_true(valid),
+        "sum_revenue": F.coalesce(
             F.sum(F.when(valid, F.col("order_revenue"))), F.lit(0).cast("decimal(30,2)")
-        ).alias("sum_revenue"),
-    ]
+        ),
+    }
 
 
 def _sales_rates(figures: DataFrame) -> DataFrame:
@@ -263,13 +271,9 @@ def _sales_rates(figures: DataFrame) -> DataFrame:
 
 def kpi_sales_month(fact_orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Every calendar month, with growth against the month before."""
-    figures = (
-        _on_calendar(fact_orders, "purchase_date", calendar)
-        .groupBy("year_month")
-        .agg(*_sales_components())
-    )
-    components = ("n_orders_total", "n_canceled_orders", "n_valid_orders", "sum_revenue")
-    dense = _sales_rates(_dense_by_month(calendar, figures, components))
+    sums = _sales_sums()
+    figures = _by_month(fact_orders, "purchase_date", calendar, sums)
+    dense = _sales_rates(_dense_by_month(calendar, figures, list(sums)))
     # one row per calendar month, so a single ordered partition is small
     previous = F.lag("n_valid_orders").over(Window.orderBy("year_month"))
     return conform(
@@ -292,11 +296,8 @@ def kpi_sales_state_month(
     calendar: DataFrame,
 ) -> DataFrame:
     """Only the states and months that have orders."""
-    figures = (
-        _on_calendar(with_customer_state(fact_orders, customers), "purchase_date", calendar)
-        .groupBy("customer_state", "year_month")
-        .agg(*_sales_components())
-    )
+    by_state = with_customer_state(fact_orders, customers)
+    figures = _by_month(by_state, "purchase_date", calendar, _sales_sums(), "customer_state")
     return conform(
         _sales_rates(figures).withColumn(
             "is_small_sample", is_small_sample(F.col("n_valid_orders"))
@@ -305,34 +306,27 @@ def kpi_sales_state_month(
     )
 
 
-def _delivery_components() -> list[Column]:
+def _delivery_sums() -> dict[str, Column]:
     delivered, late = F.col("is_delivered_order"), F.col("is_late")
     score = F.col("review_score")
     scored = score.isNotNull()
     shipping = F.col("shipping_days")
-    return [
-        count_true(F.col("is_valid_order")).alias("n_valid_orders"),
-        count_true(delivered).alias("n_delivered"),
-        sum_where(delivered, F.col("delivery_days")).alias("sum_delivery_days"),
-        count_true(delivered & late).alias("n_late"),
-        count_true(delivered & ~late).alias("n_on_time"),
-        count_true(delivered & shipping.isNotNull()).alias("n_shipping_measured"),
-        sum_where(delivered, shipping).alias("sum_shipping_days"),
-        count_true(scored).alias("n_scored"),
-        sum_where(scored, score).alias("sum_score"),
-        count_true(scored & delivered & ~late).alias("n_scored_on_time"),
-        sum_where(delivered & ~late, score).alias("sum_score_on_time"),
-        count_true(scored & delivered & late).alias("n_scored_late"),
-        sum_where(delivered & late, score).alias("sum_score_late"),
-        count_true(F.col("is_overdue_undelivered")).alias("n_overdue_undelivered"),
-    ]
-
-
-DELIVERY_COMPONENTS = (
-    "n_valid_orders n_delivered sum_delivery_days n_late n_on_time n_shipping_measured "
-    "sum_shipping_days n_scored sum_score n_scored_on_time sum_score_on_time n_scored_late "
-    "sum_score_late n_overdue_undelivered"
-).split()
+    return {
+        "n_valid_orders": count_true(F.col("is_valid_order")),
+        "n_delivered": count_true(delivered),
+        "sum_delivery_days": sum_where(delivered, F.col("delivery_days")),
+        "n_late": count_true(delivered & late),
+        "n_on_time": count_true(delivered & ~late),
+        "n_shipping_measured": count_true(delivered & shipping.isNotNull()),
+        "sum_shipping_days": sum_where(delivered, shipping),
+        "n_scored": count_true(scored),
+        "sum_score": sum_where(scored, score),
+        "n_scored_on_time": count_true(scored & delivered & ~late),
+        "sum_score_on_time": sum_where(delivered & ~late, score),
+        "n_scored_late": count_true(scored & delivered & late),
+        "sum_score_late": sum_where(delivered & late, score),
+        "n_overdue_undelivered": count_true(F.col("is_overdue_undelivered")),
+    }
 
 
 def _delivery_rates(figures: DataFrame) -> DataFrame:
@@ -354,12 +348,9 @@ def _delivery_rates(figures: DataFrame) -> DataFrame:
 
 
 def kpi_delivery_month(fact_orders: DataFrame, calendar: DataFrame) -> DataFrame:
-    figures = (
-        _on_calendar(fact_orders, "purchase_date", calendar)
-        .groupBy("year_month")
-        .agg(*_delivery_components())
-    )
-    dense = _delivery_rates(_dense_by_month(calendar, figures, DELIVERY_COMPONENTS))
+    sums = _delivery_sums()
+    figures = _by_month(fact_orders, "purchase_date", calendar, sums)
+    dense = _delivery_rates(_dense_by_month(calendar, figures, list(sums)))
     small = is_small_sample(F.col("n_delivered"), orders=F.col("n_valid_orders"))
     return conform(dense.withColumn("is_small_sample", small), "kpi_delivery_month")
 
@@ -369,11 +360,8 @@ def kpi_delivery_state_month(
     customers: DataFrame,
     calendar: DataFrame,
 ) -> DataFrame:
-    figures = (
-        _on_calendar(with_customer_state(fact_orders, customers), "purchase_date", calendar)
-        .groupBy("customer_state", "year_month")
-        .agg(*_delivery_components())
-    )
+    by_state = with_customer_state(fact_orders, customers)
+    figures = _by_month(by_state, "purchase_date", calendar, _delivery_sums(), "customer_state")
     return conform(
         _delivery_rates(figures).withColumn(
             "is_small_sample", is_small_sample(F.col("n_delivered"))
@@ -382,17 +370,20 @@ def kpi_delivery_state_month(
     )
 
 
-def _lead_figures(grouped) -> DataFrame:
+def _lead_sums() -> dict[str, Column]:
     days, kept = F.col("days_to_close"), ~F.col("is_close_time_excluded")
     measured = F.col("has_deal") & kept & days.isNotNull()
-    figures = grouped.agg(
-        F.count(F.lit(1)).alias("n_leads"),
-        count_true(F.col("has_deal")).alias("n_leads_with_deal"),
-        count_true(measured).alias("n_close_time_valid_deals"),
-        sum_where(measured, days).alias("sum_days_to_close"),
-        count_true(kept).alias("n_leads_not_excluded"),
-        count_true(measured & (days <= QUICK_CLOSE_DAYS)).alias("n_won_30d"),
-    )
+    return {
+        "n_leads": F.count(F.lit(1)),
+        "n_leads_with_deal": count_true(F.col("has_deal")),
+        "n_close_time_valid_deals": count_true(measured),
+        "sum_days_to_close": sum_where(measured, days),
+        "n_leads_not_excluded": count_true(kept),
+        "n_won_30d": count_true(measured & (days <= QUICK_CLOSE_DAYS)),
+    }
+
+
+def _lead_rates(figures: DataFrame) -> DataFrame:
     return figures.withColumns(
         {
             "lead_to_deal_rate": ratio(F.col("n_leads_with_deal"), F.col("n_leads")),
@@ -407,12 +398,13 @@ def _lead_figures(grouped) -> DataFrame:
 
 
 def kpi_lead_month(fact_leads: DataFrame, calendar: DataFrame) -> DataFrame:
-    on_calendar = _on_calendar(fact_leads, "first_contact_date", calendar)
-    return conform(_lead_figures(on_calendar.groupBy("year_month")), "kpi_lead_month")
+    figures = _by_month(fact_leads, "first_contact_date", calendar, _lead_sums())
+    return conform(_lead_rates(figures), "kpi_lead_month")
 
 
 def kpi_lead_origin(fact_leads: DataFrame) -> DataFrame:
-    return conform(_lead_figures(fact_leads.groupBy("origin")), "kpi_lead_origin")
+    sums = [total.alias(name) for name, total in _lead_sums().items()]
+    return conform(_lead_rates(fact_leads.groupBy("origin").agg(*sums)), "kpi_lead_origin")
 
 
 def _funnel_figures(grouped) -> DataFrame:

@@ -22,10 +22,9 @@ from tidemark.functions.text import (
     tidy_place_name,
 )
 from tidemark.operators.batches import BatchPlan, with_batch_seq
-from tidemark.operators.latest import distinct_lines, latest_rows
+from tidemark.operators.latest import distinct_lines, latest_rows, newest_version
 from tidemark.operators.skew import lookup_join, with_group_values
 from tidemark.plans.contract import conform
-from tidemark.sources.scratch import written_table
 
 # Fixed value: calendar days after purchase beyond which a shipping limit is implausible.
 LONGEST_SHIPPING_LIMIT = 148
@@ -162,19 +161,13 @@ def mark_session_moments(
     return lookup_join(events, marked, ["session_id", instant], "inner")
 
 
-def clickstream_events(
-    evaluated: DataFrame, plan: BatchPlan
-) -> DataFrame:
-    """One row per distinct log line; lines of batches that are not planned rank last and stay.
-
-    The distinct lines are written once: what follows reads them three times,
-    and shuffling all lines by their text is the dearest step here.
-    """
+def distinct_events(evaluated: DataFrame, plan: BatchPlan) -> DataFrame:
+    """One row per distinct log line; lines of batches that are not planned rank last and stay."""
     valid = evaluated.filter(none_of(_event_faults())).withColumn(
         "batch_seq", plan.position_of(F.col("batch_id"))
     )
     order = [F.asc_nulls_last("batch_seq"), F.asc("source_file"), F.asc("ingested_at")]
-    unique = distinct_lines(valid, "raw_line", order).select(
+    return distinct_lines(valid, "raw_line", order).select(
         F.trim("user_id").alias("user_id"),
         F.trim("session_id").alias("session_id"),
         blank_to_null(F.col("order_id")).alias("order_id"),
@@ -187,7 +180,15 @@ def clickstream_events(
         "source_file",
         "batch_id",
     )
-    marked = mark_session_moments(written_table(unique, "distinct_events"))
+
+
+def clickstream_events(unique: DataFrame) -> DataFrame:
+    """Events with their key and flags, from ``distinct_events``.
+
+    They are read three times, so the caller writes them first: shuffling all
+    lines by their text is the dearest step.
+    """
+    marked = mark_session_moments(unique)
     flags = flag_list(
         [
             ("E1", F.col("event_ts") > F.col("first_purchase_ts")),
@@ -231,7 +232,11 @@ def _trimmed(raw: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def orders(raw: DataFrame, plan: BatchPlan) -> DataFrame:
-    """Latest snapshot per order; times after the cutoff have not happened yet."""
+    """Latest snapshot per order, as it stood at the cutoff.
+
+    Times after the cutoff have not happened yet. An order delivered after it was
+    therefore shipped, if the carrier had it by then, else approved or created.
+    """
     named = _trimmed(raw, ["order_id", "customer_id", "order_status"])
     latest = latest_rows(with_batch_seq(named, plan), ["order_id"], "batch_seq")
     times = (
@@ -246,13 +251,22 @@ def orders(raw: DataFrame, plan: BatchPlan) -> DataFrame:
         c: F.when(~plan.after_cutoff(F.col(c)), F.col(c))
         for c in times[1:4]  # an estimate may lie in the future
     }
-    delivered = F.col("order_status") == "delivered"
     purchase = F.col("order_purchase_timestamp")
     approved, carrier, customer = happened.values()
+    not_yet = (F.col("order_status") == "delivered") & plan.after_cutoff(
+        F.col("order_delivered_customer_date")
+    )
+    status = (
+        F.when(not_yet & carrier.isNotNull(), "shipped")
+        .when(not_yet & approved.isNotNull(), "approved")
+        .when(not_yet, "created")
+        .otherwise(F.col("order_status"))
+    )
+    delivered = status == "delivered"
     flags = flag_list(
         [
             ("D1", delivered & customer.isNull()),
-            ("D2", (F.col("order_status") != "delivered") & customer.isNotNull()),
+            ("D2", (status != "delivered") & customer.isNotNull()),
             ("D3", carrier < purchase),
             ("D4", customer < carrier),
             ("D5", delivered & approved.isNull()),
@@ -261,7 +275,9 @@ def orders(raw: DataFrame, plan: BatchPlan) -> DataFrame:
         ]
         + failed
     )
-    return conform(typed.withColumns(happened | {"dq_flag": flags}), "orders")
+    return conform(
+        typed.withColumns(happened | {"order_status": status, "dq_flag": flags}), "orders"
+    )
 
 
 def _purchase_dates(silver_orders: DataFrame) -> DataFrame:
@@ -322,18 +338,25 @@ def order_reviews(
     latest = latest_rows(
         with_batch_seq(named, plan), ["review_id", "order_id"], "batch_seq"
     )
-    typed, failed = _typed(
-        latest,
+    scored = latest.withColumns(
         {
-            "review_score": "INT",
-            "review_creation_date": "TIMESTAMP",
-            "review_answer_timestamp": "TIMESTAMP",
-        },
+            "__raw_score": blank_to_null(F.col("review_score")),
+            "review_score": integral_to_int(blank_to_null(F.col("review_score"))),
+        }
+    )
+    typed, failed = _typed(
+        scored,
+        {"review_creation_date": "TIMESTAMP", "review_answer_timestamp": "TIMESTAMP"},
     )
+    not_a_score = ("T1:review_score", cast_failed(F.col("__raw_score"), F.col("review_score")))
     answered = F.col("review_answer_timestamp")
     dated = lookup_join(typed, _purchase_dates(silver_orders), ["order_id"], "left")
     flags = flag_list(
-        [("R2", F.col("review_creation_date").cast("date") < F.col("__purchase_date"))] + failed
+        [
+            ("R2", F.col("review_creation_date").cast("date") < F.col("__purchase_date")),
+            not_a_score,
+        ]
+        + failed
     )
     flagged = dated.withColumn("dq_flag", flags).withColumn(
         "review_answer_timestamp", F.when(~plan.after_cutoff(answered), answered)
@@ -344,24 +367,29 @@ def order_reviews(
 # --- reference data ------------------------------------------------------------------------
 
 
-def product_category_translation(raw: DataFrame) -> DataFrame:
+def _newest(rows: DataFrame, key: str, plan: BatchPlan) -> DataFrame:
+    return newest_version(rows, [key], plan.position_of(F.col("batch_id")))
+
+
+def product_category_translation(raw: DataFrame, plan: BatchPlan) -> DataFrame:
+    """The newest export of each category."""
+    named = _trimmed(raw, ["product_category_name", "product_category_name_english"])
     return conform(
-        _trimmed(raw, ["product_category_name", "product_category_name_english"]),
-        "product_category_translation",
+        _newest(named, "product_category_name", plan), "product_category_translation"
     )
 
 
-def products(
-    raw: DataFrame, translation: DataFrame
-) -> DataFrame:
-    """Products with their English category; a weight of zero is no weight."""
+def products(raw: DataFrame, translation: DataFrame, plan: BatchPlan) -> DataFrame:
+    """The newest export of each product with its English category; a weight of zero is no weight."""
     renamed = raw.withColumnsRenamed(
         {
             "product_name_lenght": "product_name_length",
             "product_description_lenght": "product_description_length",
         }
     )
-    named = _trimmed(renamed, ["product_id", "product_category_name"])
+    named = _newest(
+        _trimmed(renamed, ["product_id", "product_category_name"]), "product_id", plan
+    )
     typed, failed = _typed(
         named,
         {
@@ -398,24 +426,28 @@ def products(
     return conform(flagged, "products")
 
 
-def customers(raw: DataFrame) -> DataFrame:
+def customers(raw: DataFrame, plan: BatchPlan) -> DataFrame:
+    """The newest export of each customer."""
     named = _trimmed(
         raw, ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_state"]
     )
+    newest = _newest(named, "customer_id", plan)
     return conform(
-        named.withColumn("customer_city", tidy_place_name(F.col("customer_city"))), "customers"
+        newest.withColumn("customer_city", tidy_place_name(F.col("customer_city"))), "customers"
     )
 
 
-def sellers(raw: DataFrame) -> DataFrame:
+def sellers(raw: DataFrame, plan: BatchPlan) -> DataFrame:
+    """The newest export of each seller."""
     named = _trimmed(raw, ["seller_id", "seller_zip_code_prefix", "seller_state"])
+    newest = _newest(named, "seller_id", plan)
     return conform(
-        named.withColumn("seller_city", tidy_place_name(F.col("seller_city"))), "sellers"
+        newest.withColumn("seller_city", tidy_place_name(F.col("seller_city"))), "sellers"
     )
 
 
-def geolocation(raw: DataFrame) -> DataFrame:
-    """One row per postal prefix: mean position, commonest place name, point count.
+def geolocation(raw: DataFrame, plan: BatchPlan) -> DataFrame:
+    """One row per postal prefix: mean position, commonest place name, point count, latest batch.
 
     Names are counted per prefix first, so the commonest one (the first in the
     alphabet on a tie) is picked among names, not among points.
@@ -431,10 +463,13 @@ def geolocation(raw: DataFrame) -> DataFrame:
         blank_to_null(F.col(state)).alias(state),
         safe_cast(F.col("geolocation_lat"), "DECIMAL(18, 12)").alias("lat"),
         safe_cast(F.col("geolocation_lng"), "DECIMAL(18, 12)").alias("lng"),
-        "batch_id",
+        F.struct(
+            F.coalesce(plan.position_of(F.col("batch_id")), F.lit(-1)).alias("position"),
+            "batch_id",
+        ).alias("batch"),
     )
     places = points.groupBy(zip_code, city, state).agg(
-        F.max("batch_id").alias("batch_id"),
+        F.max("batch").alias("batch"),
         F.count(F.lit(1)).alias("n"),
         F.sum("lat").alias("lat"),
         F.count("lat").alias("n_lat"),
@@ -449,7 +484,7 @@ def geolocation(raw: DataFrame) -> DataFrame:
         F.sum("n_lng").alias("n_lng"),
         F.min(commonest).alias("place"),
         F.sum("n").alias("n_points"),
-        F.max("batch_id").alias("batch_id"),
+        F.max("batch").alias("batch"),
     )
     return conform(
         per_zip.select(
@@ -459,7 +494,7 @@ def geolocation(raw: DataFrame) -> DataFrame:
             F.col(f"place.{city}").alias(city),
             F.col(f"place.{state}").alias(state),
             "n_points",
-            "batch_id",
+            F.col("batch.batch_id").alias("batch_id"),
         ),
         "geolocation",
     )

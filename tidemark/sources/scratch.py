@@ -27,10 +27,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def written_table(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` written once and read back, for a frame that feeds several branches."""
-    path = scratch_path(rows.sparkSession, name)
+    """``rows`` written once and read back, for a frame that feeds several branches.
+
+    The folder goes when the driver ends.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
