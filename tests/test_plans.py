@@ -43,7 +43,7 @@ def test_events(spark):
         (log_line("2018-05-01 10:00:04.1234567", user=" "), BULK, "a"),
     ]
     evaluated = silver.evaluate_events(bronze_events(spark, rows))
-    events = silver.clickstream_events(evaluated, PLAN)
+    events = silver.clickstream_events(silver.distinct_events(evaluated, PLAN))
     assert events.columns == contract.columns_of("clickstream_events")
     got = {(r.session_id, r.event_type): r for r in events.collect()}
     assert len(got) == 5 and got["s1", "home"].batch_id == BULK
@@ -137,6 +137,8 @@ def test_order_flags(spark):
             order("ok", "shipped", D("01"), None, None, None, D("09"), "1999-01"),  # unknown batch
             order("none", "delivered", D("01"), None, None, None, D("09")),
             order("odd", "shipped", D("05"), D("04"), D("03"), D("02"), D("09")),
+            order("after", "delivered", D("01"), D("01"), D("02"), "2018-09-05 00:00:00", D("09")),
+            order("unsent", "delivered", D("01"), D("01"), "2018-09-04 00:00:00", "2018-09-05 00:00:00", D("09")),
             order("late", "shipped", D("05"), "x", D("06"), "2018-09-01 00:00:00", D("09")),
         ],
     )
@@ -145,9 +147,29 @@ def test_order_flags(spark):
         "ok": None,
         "none": "D1,D5,D7",
         "odd": "D2,D3,D4,D6",
+        "after": None,
+        "unsent": None,
         "late": "T1:order_approved_at",  # delivered after the cutoff has not happened
     }
     assert got["late"].order_delivered_customer_date is None
+    # delivered after the cutoff: shipped by then only if the carrier had it
+    assert (got["after"].order_status, got["unsent"].order_status) == ("shipped", "approved")
+
+
+def test_newest_exports(spark):
+    rows = [
+        ("c1", "u", "01", "X", "RJ", BULK), ("c1", "u", "01", "X", "SP", "2018-06"),
+        ("c2", "u", "01", "X", "RJ", "2018-06"), ("c2", "u", "01", "X", "SP", "1999-01"),  # unplanned
+        ("c3", "u", "01", "X", "AA", None), ("c4", "u", "01", "X", "RJ", BULK),
+        ("c4", "u", "01", "X", "SP", BULK), (" ", "u", "01", "X", "A", BULK), (None, "u", "01", "X", "B", BULK),
+    ]
+    names = "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state batch_id"
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names.split()))
+    got = silver.customers(raw.withColumn("source_file", F.lit("f")), PLAN).collect()
+    assert {(r.customer_id, r.customer_state) for r in got} == {
+        ("c1", "SP"), ("c2", "RJ"), ("c3", "AA"), ("c4", "SP"), (None, "A"), (None, "B"),
+    }
+    assert len(got) == 6
 
 
 def test_orders_to_kpis(spark):
@@ -177,8 +199,8 @@ def test_orders_to_kpis(spark):
     reviews = silver.order_reviews(
         spark.createDataFrame(
             [
-                ("r1", "a", "1", "2018-01-12", "2018-01-13 00:00:00"),
-                ("r2", "a", "5", "2018-01-12", "2018-01-14 00:00:00"),  # the newest answer
+                ("r1", "a", "1.0", "2018-01-12", "2018-01-13 00:00:00"),
+                ("r2", "a", "5.0", "2018-01-12", "2018-01-14 00:00:00"),  # the newest answer
                 ("r3", "a", "3", "2017-12-31", "2018-01-20 00:00:00"),  # before the purchase
                 ("r4", "b", "4", "2018-01-12", None),  # not answered
                 ("r5", "n", "2", "2018-01-12", "2018-09-13 00:00:00"),  # answered after the cutoff
@@ -266,7 +288,9 @@ def test_geolocation_and_products(spark):
         "geolocation_zip_code_prefix string, geolocation_lat string, geolocation_lng string, "
         "geolocation_city string, geolocation_state string",
     ).withColumn("batch_id", F.lit(BULK))
-    row = silver.geolocation(points).first()
+    later = points.limit(1).withColumn("batch_id", F.lit("2018-06"))
+    assert silver.geolocation(points.unionByName(later), PLAN).first().batch_id == "2018-06"
+    row = silver.geolocation(points, PLAN).first()
     assert (row.geolocation_lat, row.geolocation_lng, row.n_points) == (3.0, -3.0, 3)
     assert row.geolocation_city == "sao paulo"
 
@@ -282,7 +306,7 @@ def test_geolocation_and_products(spark):
     names = spark.createDataFrame(
         [("beleza", "beauty")], "product_category_name string, product_category_name_english string"
     )
-    got = {r.product_id: r for r in silver.products(raw, names).collect()}
+    got = {r.product_id: r for r in silver.products(raw, names, PLAN).collect()}
     assert (got["p1"].dq_flag, got["p1"].product_category_en) == ("PR2", "beauty")
     assert got["p1"].product_weight_g is None and got["p2"].dq_flag == "PR1,PR3"
 
@@ -385,6 +409,52 @@ def test_batches_from_raw_files(spark, tmp_path):
         pipeline.run_batch(spark, root, "2018-08")
 
 
+def settled(report):
+    return {r.check_name: (r.violations, r.status) for r in report.collect()}
+
+
+def test_checks_of_a_batch(spark, tmp_path):
+    """Orphans up to the published number warn in a middle batch; more stop it, as all do in the last."""
+    root = str(tmp_path)
+    first_batch(tmp_path)
+    layout = pipeline.Layout(root)
+    bought = lambda n: [
+        log_line(f"2018-01-03 10:00:0{i}.0", f"x{i}", "purchase", f"gone{i}", amount="1.00", user="c1")
+        for i in range(n)
+    ]
+    write_raw(tmp_path, BULK, "clickstream", "access_log.txt", "\n".join(bought(3)) + "\n")
+    report = settled(pipeline.run_batch(spark, root, BULK))
+    assert report["events order orphans within expected"] == (1, "warn")
+    assert report["events order orphans above expected"] == (0, "pass")
+    final = {c.name: c for c in pipeline.batch_checks(spark, layout, PLAN, PLAN.final_batch)}
+    got = settled(checks.report(list(final.values())))
+    assert got == {
+        "events order orphans above expected": (1, "error"),
+        "events flag counts": (2, "warn"),
+        "leads close time count": (1, "warn"),
+        "leads final totals": (1, "warn"),
+    }
+    write_raw(tmp_path, BULK, "clickstream", "access_log.txt", "\n".join(bought(4)) + "\n")
+    with pytest.raises(checks.ChecksFailed, match="orphans above expected"):
+        pipeline.run_batch(spark, root, BULK)
+    write_raw(tmp_path, BULK, "clickstream", "access_log.txt", "\n".join(bought(1)) + "\n")
+    write_raw(tmp_path, BULK, "marketing_funnel", "marketing_leads.jsonl",
+              '{"mql_id":"m","first_contact_date":"2018-01-05","landing_page_id":"p","origin":"moon"}\n')
+    with pytest.raises(checks.ChecksFailed, match="leads origin accepted"):
+        pipeline.run_batch(spark, root, BULK)
+
+
+def test_a_batch_without_some_tables(spark, tmp_path):
+    bare = tmp_path / "bare"
+    write_csv(bare, BULK, "orders", [("o1", "c1", "shipped", D("02"), D("02"), D("03"), "", D("20"))])
+    layout = pipeline.Layout(str(bare))
+    pipeline.load_bronze(spark, layout, BULK)
+    pipeline.build_silver(spark, layout, PLAN)
+    assert layout.read(spark, "silver", "orders").count() == 1
+    for name in ("geolocation", "leads", "clickstream_events", "products"):
+        assert layout.read(spark, "silver", name).count() == 0
+
+
 def test_calendar_has_no_longest_length(spark):
     first = spark.sql("SELECT DATE'1970-01-01' AS first_day")
     row = gold.calendar_from(first, "2018-08-31").selectExpr("count(*) AS n", "max(date) AS last").first()
@@ -400,5 +470,6 @@ def test_events_of_unplanned_batches_stay(spark):
         ("u", "s", None, None, None, "home", None, datetime(2018, 6, 1), line, True, batch, "f", datetime(2018, 7, 1))
         for line, batch in (("a", "2018-06"), ("b", "2019-01"), ("c", None), ("a", "2019-01"))
     ]
-    events = silver.clickstream_events(silver.evaluate_events(spark.createDataFrame(rows, columns)), PLAN)
+    evaluated = silver.evaluate_events(spark.createDataFrame(rows, columns))
+    events = silver.clickstream_events(silver.distinct_events(evaluated, PLAN))
     assert sorted((r.batch_id or "") for r in events.collect()) == ["", "2018-06", "2019-01"]

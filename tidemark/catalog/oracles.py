@@ -104,6 +104,12 @@ SNAPSHOT = """(SELECT CASE WHEN l_suppkey % 50 <> 7 THEN l_orderkey END AS l_ord
   l_partkey, l_suppkey, l_shipdate, CAST(year(l_shipdate) AS INT) AS version FROM lineitem)"""
 
 
+PAYMENT_CELLS = " || '|' || ".join(
+    f"coalesce(length({c}) || ':' || {c}, '-')"
+    for c in ("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value")
+)
+
+
 def stored_text(value: str, kind: str) -> str:
     if kind == "double":
         return f"regexp_replace(printf('%.10f', {value}), '\\.?0+$', '')"
@@ -312,12 +318,11 @@ def _bodies() -> dict[str, str]:
           SELECT batch_id, count(*) AS n_rows, count(*) FILTER (WHERE has_deal) AS n_present,
             count(*) FILTER (WHERE NOT is_parsed) AS n_unparsed
           FROM bronze_leads GROUP BY 1""",
-        "batch_fingerprint": """
+        "batch_fingerprint": f"""
           SELECT batch_id, count(*) AS n_rows,
-            CAST(sum(CAST(('0x' || substring(digest, 1, 15)) AS BIGINT)) AS DECIMAL(30,0))
+            CAST(sum(CAST(('0x' || substring(digest, 1, 15)) AS BIGINT)) AS DECIMAL(38,0))
               AS content_digest
-          FROM (SELECT batch_id, sha256(order_id || '|' || payment_sequential || '|' || payment_type
-              || '|' || payment_installments || '|' || payment_value) AS digest FROM raw_payments)
+          FROM (SELECT batch_id, sha256({PAYMENT_CELLS}) AS digest FROM raw_payments)
           GROUP BY 1""",
         "route_to_batches": f"""
           SELECT {LINE_KEY}, {batch_of('l_shipdate')} AS batch_id FROM lineitem

@@ -49,6 +49,10 @@ class BatchPlan:
     def is_final(self, batch_id: str) -> bool:
         return batch_id.strip() == self.final_batch
 
+    def is_middle(self, batch_id: str) -> bool:
+        """Before the final batch, when parents of some rows may still be missing."""
+        return not self.is_final(batch_id)
+
     def sequence_of(self, batch_id: str) -> int:
         if batch_id not in self.ids:
             raise ValueError(f"unknown batch {batch_id!r}; known: {self.ids}")

@@ -50,12 +50,18 @@ def report(checks: Sequence[Check]) -> DataFrame:
     return union_all(counts).withColumn("status", status)
 
 
-def raise_on_errors(checks_report: DataFrame) -> None:
-    """Stop on errors. The report has one row per check, so collecting it is safe."""
-    failed = checks_report.filter(F.col("status") == ERROR).collect()
+def raise_on_errors(checks_report: DataFrame) -> DataFrame:
+    """Stop on errors, else the report as settled rows.
+
+    Every check runs once: its row, one per check, is collected and given back.
+    """
+    rows = checks_report.collect()
+    failed = [row for row in rows if row.status == ERROR]
     if failed:
         names = ", ".join(f"{row.check_name} ({row.violations})" for row in failed)
         raise ChecksFailed(names)
+    settled = [tuple(row) for row in rows]
+    return small_table(checks_report.sparkSession, settled, checks_report.schema.toDDL())
 
 
 # --- column checks -------------------------------------------------------------------------
@@ -72,8 +78,9 @@ def null_counts(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def unique(rows: DataFrame, columns: Sequence[str], where: Column | None = None) -> DataFrame:
-    """Key values that occur more than once, with their number of rows."""
-    chosen = rows if where is None else rows.filter(where)
+    """Key values that occur more than once, with their number of rows; NULL is no value."""
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    chosen = rows.filter(complete if where is None else complete & where)
     return (
         chosen.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("n_rows"))
@@ -111,6 +118,16 @@ def orphan_rows(
     return lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0).cast("bigint")).alias("n_orphans"))
 
 
+def orphans_above(orphans: DataFrame, allowed: int) -> DataFrame:
+    """The row of ``orphan_rows`` when it has more than ``allowed``."""
+    return orphans.filter(F.col("n_orphans") > allowed)
+
+
+def orphans_within(orphans: DataFrame, allowed: int) -> DataFrame:
+    """The row of ``orphan_rows`` when there are some, up to ``allowed``."""
+    return orphans.filter((F.col("n_orphans") > 0) & (F.col("n_orphans") <= allowed))
+
+
 def accepted_values(rows: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Values outside the list and their number of rows."""
     return (

@@ -16,6 +16,7 @@ METRIC_SCHEMA = "table_name string, slice_key string, kpi_name string, value str
 # Which metrics are rates, and which columns are not metrics.
 RATE_PREFIXES = ("avg_", "sum_revenue", "order_growth", "score_gap")
 RATE_SUFFIX = "_rate"
+NO_SLICE = "(none)"  # stands for NULL in a slice
 NOT_METRICS = ("n_obs", "is_small_sample", "is_small_gap_group")
 
 
@@ -25,7 +26,9 @@ def to_metrics(table: DataFrame, table_name: str, slice_columns: Sequence[str])
     metrics = [c for c in table.columns if c not in slice_columns and c not in NOT_METRICS]
     as_text = table.select(
         F.lit(table_name).alias("table_name"),
-        joined_key(*[F.col(c) for c in slice_columns]).alias("slice_key"),
+        joined_key(
+            *[F.coalesce(F.col(c).cast("string"), F.lit(NO_SLICE)) for c in slice_columns]
+        ).alias("slice_key"),
         *[stored_text(F.col(c), types[c]).alias(c) for c in metrics],
     )
     return as_text.unpivot(["table_name", "slice_key"], metrics, "kpi_name", "value")

@@ -20,9 +20,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.flags import has_flag
 from tidemark.operators import checks
 from tidemark.operators.batches import MARKETPLACE_BATCHES, BatchPlan, batch_order_problems
-from tidemark.plans import gold, silver
+from tidemark.plans import gold, seeds, silver
 from tidemark.plans.contract import (
     GOLD_COLUMNS,
     GOLD_KEYS,
@@ -120,7 +121,22 @@ def load_bronze(spark: SparkSession, layout: Layout, batch_id: str) -> int:
 
 
 def _bronze(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    return layout.read(spark, "bronze", name)
+    """A bronze table; one that no batch has brought yet has its columns and no rows."""
+    found = _if_present(lambda: layout.read(spark, "bronze", name))
+    return _no_bronze(spark, name) if found is None else found
+
+
+def _no_bronze(spark: SparkSession, name: str) -> DataFrame:
+    def no_rows(*columns: str) -> DataFrame:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+
+    if name == EVENTS:
+        frame = parse_log_lines(no_rows("raw_line"))
+    elif name == LEADS:
+        frame = parse_json_lines(no_rows("raw_json"))
+    else:
+        frame = no_rows(*RAW_CSV_COLUMNS[name].split())
+    return add_audit_columns(frame, F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
 def build_silver(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
@@ -140,7 +156,9 @@ def build_silver(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
     write("leads_rejects", silver.leads_rejects(evaluated_leads))
 
     evaluated_events = silver.evaluate_events(_bronze(spark, layout, EVENTS))
-    write("clickstream_events", silver.clickstream_events(evaluated_events, plan))
+    unique = layout.table("work", "distinct_events")
+    publish(silver.distinct_events(evaluated_events, plan), unique)
+    write("clickstream_events", silver.clickstream_events(spark.read.parquet(unique)))
     write("clickstream_rejects", silver.events_rejects(evaluated_events))
 
     write("orders", silver.orders(_bronze(spark, layout, "orders"), plan))
@@ -151,19 +169,21 @@ def build_silver(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
         "order_reviews",
         silver.order_reviews(_bronze(spark, layout, "order_reviews"), orders, plan),
     )
-    write("customers", silver.customers(_bronze(spark, layout, "customers")))
-    write("sellers", silver.sellers(_bronze(spark, layout, "sellers")))
+    write("customers", silver.customers(_bronze(spark, layout, "customers"), plan))
+    write("sellers", silver.sellers(_bronze(spark, layout, "sellers"), plan))
     write(
         "product_category_translation",
-        silver.product_category_translation(_bronze(spark, layout, "product_category_translation")),
+        silver.product_category_translation(
+            _bronze(spark, layout, "product_category_translation"), plan
+        ),
     )
     write(
         "products",
         silver.products(
-            _bronze(spark, layout, "products"), written("product_category_translation")
+            _bronze(spark, layout, "products"), written("product_category_translation"), plan
         ),
     )
-    write("geolocation", silver.geolocation(_bronze(spark, layout, "geolocation")))
+    write("geolocation", silver.geolocation(_bronze(spark, layout, "geolocation"), plan))
 
 
 def build_gold(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
@@ -202,8 +222,43 @@ def build_gold(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
         publish(frame, layout.table("gold", name))
 
 
+def batch_checks(
+    spark: SparkSession, layout: Layout, plan: BatchPlan, batch_id: str
+) -> list[checks.Check]:
+    """Checks whose figures depend on how many batches are loaded."""
+    leads = layout.read(spark, "silver", "leads")
+    events = layout.read(spark, "silver", "clickstream_events")
+    orders = layout.read(spark, "silver", "orders")
+    check, error, warn = checks.Check, checks.ERROR, checks.WARN
+    orphans = checks.orphan_rows(
+        events, "order_id", orders, "order_id", F.col("order_id").isNotNull()
+    )
+    allowed = seeds.orphans_allowed("clickstream_to_orders", batch_id, plan)
+    found = [
+        check("events order orphans above expected", checks.orphans_above(orphans, allowed), error)
+    ]
+    if plan.is_middle(batch_id):
+        within = checks.orphans_within(orphans, allowed)
+        return [*found, check("events order orphans within expected", within, warn)]
+    close_time = leads.agg(
+        F.count_if(has_flag(F.col("dq_flag"), "C1")).alias("actual_count")
+    ).filter(F.col("actual_count") != seeds.anomaly_count("leads", "C1"))
+    sessions = checks.expected_counts(
+        checks.session_flag_counts(events),
+        seeds.expected_anomalies(spark).filter(F.col("table_name") == EVENTS),
+        ["sub_code"],
+    )
+    totals = checks.final_lead_counts(leads, seeds.FINAL_LEADS, seeds.FINAL_DEALS)
+    return [
+        *found,
+        check("events flag counts", checks.count_mismatches(sessions), warn),
+        check("leads close time count", close_time, warn),
+        check("leads final totals", totals, warn),
+    ]
+
+
 def silver_checks(
-    spark: SparkSession, layout: Layout, plan: BatchPlan
+    spark: SparkSession, layout: Layout, plan: BatchPlan, batch_id: str
 ) -> list[checks.Check]:
     s = lambda name: layout.read(spark, "silver", name)
     leads, events = s("leads"), s("clickstream_events")
@@ -214,6 +269,8 @@ def silver_checks(
                   "source_file", "batch_id"),
         "clickstream_events": ("event_id", "session_id", "user_id", "event_ts", "event_date",
                                "event_type", "source_file", "batch_id"),
+        "leads_rejects": ("reject_reason",),
+        "clickstream_rejects": ("reject_reason",),
     }
     has_value = lambda column: F.col(column).isNotNull()
     return [
@@ -225,6 +282,12 @@ def silver_checks(
             )
             for name, columns in required.items()
         ],
+        *batch_checks(spark, layout, plan, batch_id),
+        check(
+            "leads origin accepted",
+            checks.accepted_values(leads, "origin", list(seeds.LEAD_ORIGINS)),
+            error,
+        ),
         check("leads mql_id unique", checks.unique(leads, ["mql_id"]), error),
         check(
             "leads seller_id unique",
@@ -370,12 +433,12 @@ def run_batch(
         write_manifests(spark, layout, batch_id)
         step = "silver"
         build_silver(spark, layout, plan)
-        silver_report = checks.report(silver_checks(spark, layout, plan))
-        checks.raise_on_errors(silver_report)
+        silver_report = checks.raise_on_errors(
+            checks.report(silver_checks(spark, layout, plan, batch_id))
+        )
         step = "gold"
         build_gold(spark, layout, plan)
-        gold_report = checks.report(gold_checks(spark, layout, plan))
-        checks.raise_on_errors(gold_report)
+        gold_report = checks.raise_on_errors(checks.report(gold_checks(spark, layout, plan)))
         n_out = rows_out(spark, layout)
         status = ledger.SUCCESS
         return silver_report.unionByName(gold_report)

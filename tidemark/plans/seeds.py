@@ -92,6 +92,20 @@ RAW_ROW_COUNTS = (
 )
 ROW_COUNT_SCHEMA = "table_name string, batch_id string, expected_rows bigint"
 
+# Where leads come from.
+LEAD_ORIGINS = (
+    "organic_search",
+    "paid_search",
+    "social",
+    "unknown",
+    "direct_traffic",
+    "email",
+    "referral",
+    "other",
+    "display",
+    "other_publicities",
+)
+
 # Leads and deals once the final batch is loaded.
 FINAL_LEADS = 8000
 FINAL_DEALS = 792
@@ -114,6 +128,15 @@ def expected_orphans(spark: SparkSession, plan: BatchPlan = MARKETPLACE_BATCHES)
     return small_table(spark, rows, ORPHAN_SCHEMA)
 
 
+def orphans_allowed(relation: str, batch_id: str, plan: BatchPlan = MARKETPLACE_BATCHES) -> int:
+    counts = {name: counts for name, _, _, counts in ORPHANS}[relation]
+    return dict(zip(plan.ids, counts)).get(batch_id, 0)
+
+
+def anomaly_count(table_name: str, sub_code: str) -> int:
+    return {(table, code): n for _, code, table, n in ANOMALIES}[table_name, sub_code]
+
+
 def expected_row_counts(spark: SparkSession, plan: BatchPlan = MARKETPLACE_BATCHES) -> DataFrame:
     rows = [
         (table, batch_id, count)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 AUDIT_COLUMNS = ("batch_id", "source_file", "ingested_at")
 BATCH = "batch_id"
-MISSING = "\\N"  # stands for NULL in a digest
+MISSING = "-"  # stands for NULL in a digest; texts begin with their length
 
 
 def add_audit_columns(
@@ -76,8 +76,18 @@ def overwrite_table_batches(rows: DataFrame, name: str, partition: str = BATCH)
 
 
 def publish(rows: DataFrame, path: str) -> None:
-    """Full refresh of a silver or gold table."""
-    rows.write.mode("overwrite").parquet(path)
+    """Full refresh of a silver or gold table: written aside, then put in the old one's place.
+
+    A job that fails leaves the table as it was.
+    """
+    staged = f"{path.rstrip('/')}.next"
+    rows.write.mode("overwrite").parquet(staged)
+    spark = rows.sparkSession
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"{staged} could not be moved to {path}")
 
 
 def batch_load_summary(
@@ -100,12 +110,16 @@ def batch_fingerprint(rows: DataFrame, columns: Sequence[str], partition: str =
     """Row count and an order-free content digest per batch.
 
     Each row's SHA-256 gives a 60-bit number; their exact sum does not depend
-    on row order or file layout, and copies count.
+    on row order or file layout, and copies count. Values go in with their length,
+    so neither a separator inside a text nor a missing value can stand for another row.
     """
-    text = F.concat_ws(
-        "|", *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in columns]
-    )
-    row_digest = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(20,0)")
+
+    def cell(column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(MISSING))
+
+    text = F.concat_ws("|", *[cell(c) for c in columns])
+    row_digest = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(28,0)")
     return rows.groupBy(partition).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(row_digest).alias("content_digest")
     )
