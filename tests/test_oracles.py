@@ -67,3 +67,10 @@ def test_tables_keep_their_contract(spark, key):
 def test_flagship(spark):
     rows = contract.entry(spark).collect()
     assert rows and BATCHES.cutoff_date >= str(max(r.session_date for r in rows))
+
+
+@needs_data
+@pytest.mark.parametrize("key", ["kpi_sales_month", "kpi_delivery_month", "fact_order"])
+def test_models_read_finished_tables(spark, key):
+    plan = contract.queries()[key](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("Relation [") <= 4 and "lineitem" not in plan
