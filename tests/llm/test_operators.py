@@ -98,6 +98,27 @@ def test_quotient_filters_merge_without_loss():
         assert dict(zip(prints.tolist(), counts.tolist())) == Counter(np.concatenate(parts).tolist())
 
 
+def test_quotient_filters_merge_in_any_number():
+    random = np.random.default_rng(4)
+    assert quotient.merged_all([]) is None
+    for n in (1, 2, 7, 40):
+        parts = [random.integers(0, 500, random.integers(0, 60)).astype(np.uint64) << np.uint64(50) for _ in range(n)]
+        prints, counts = quotient.merged_all(map(quotient.CountingQuotientFilter.of, parts)).entries()
+        wanted = np.unique(np.concatenate(parts), return_counts=True)
+        assert prints.tolist() == wanted[0].tolist() and counts.tolist() == wanted[1].tolist()
+
+
+@pytest.mark.parametrize("least", [1, 14])
+def test_exact_copies_at_any_number_of_ranges(spark, monkeypatch, least):
+    monkeypatch.setattr(exact, "LEAST_RANGE_BITS", least)
+    texts = [f"text {i % 700}" for i in range(1500)]
+    got = exact.exact_copies(documents(spark, texts).repartition(5)).collect()
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in got} == {
+        i: (max(j for j in range(i % 700, 1500, 700)), len(range(i % 700, 1500, 700))) for i in range(1500)
+    }
+    assert exact.range_bits(0) == least and exact.range_bits(1 << 40) == 21
+
+
 def test_exact_copies(spark, awkward):
     got = by_id(exact.exact_copies(awkward))
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

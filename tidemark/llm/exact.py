@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_bytes, id_and_text, map_arrow, stored, table
-from tidemark.llm.quotient import CountingQuotientFilter
+from tidemark.llm.quotient import CountingQuotientFilter, merged_all
 
-#: Ranges of the fingerprint space; each is merged apart.
-RANGE_BITS = 10
+#: Rows for each range of the fingerprint space, about; ranges are merged apart, and grow in number with the rows.
+RANGE_ROWS = 1 << 20
+LEAST_RANGE_BITS = 10
 
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
@@ -52,53 +55,53 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def range_bits(rows: int) -> int:
+    return max(LEAST_RANGE_BITS, (rows // RANGE_ROWS).bit_length())
+
+
+def _filters(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The partition's filter, cut by fingerprint range."""
-    held: CountingQuotientFilter | None = None
-    for batch in batches:
-        part = CountingQuotientFilter.of(batch.column("print").to_numpy().view(np.uint64))
-        held = held.merged(part) if held else part
-    if held is None:
-        return
-    prints, counts = held.entries()
-    ranges = (prints >> np.uint64(64 - RANGE_BITS)).astype(np.int64)
-    cuts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
-    # the range's own bits are the same for all of it: shifted out, they leave quotients their full use
-    slices = [
-        CountingQuotientFilter.of_sorted(prints[a:b] << np.uint64(RANGE_BITS), counts[a:b]).to_bytes()
-        for a, b in zip(cuts, [*cuts[1:], len(prints)])
-    ]
-    yield table({"range": (ranges[cuts].tolist(), pa.int32()), "filter": (slices, pa.binary())})
-
-
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merges the filters of one range after the other (rows come sorted by range)."""
-    at, held = None, None
 
-    def found() -> pa.RecordBatch:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = merged_all(CountingQuotientFilter.of(batch.column("print").to_numpy().view(np.uint64)) for batch in batches)
+        if held is None:
+            return
         prints, counts = held.entries()
-        prints = prints[counts > 1] >> np.uint64(RANGE_BITS) | np.uint64(at << (64 - RANGE_BITS))
-        return pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64))], names=["print"])
+        ranges = (prints >> np.uint64(64 - bits)).astype(np.int64)
+        cuts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])[: len(ranges)])
+        # the range's own bits are the same for all of it: shifted out, they leave quotients their full use
+        slices = [
+            CountingQuotientFilter.of_sorted(prints[a:b] << np.uint64(bits), counts[a:b]).to_bytes()
+            for a, b in zip(cuts, [*cuts[1:], len(prints)])
+        ]
+        yield table({"range": (ranges[cuts].tolist(), pa.int32()), "filter": (slices, pa.binary())})
 
-    for batch in batches:
-        for number, raw in zip(batch.column("range").to_pylist(), batch.column("filter").to_pylist()):
-            part = CountingQuotientFilter.from_bytes(raw)
-            if number == at:
-                held = held.merged(part)
-                continue
-            if held is not None:
-                yield found()
-            at, held = number, part
-    if held is not None:
-        yield found()
+    return run
+
+
+def _repeated(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Merges the filters of one range after the other (rows come sorted by range)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+        for batch in batches:
+            yield from zip(batch.column("range").to_pylist(), batch.column("filter").to_pylist())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, own in groupby(rows(batches), itemgetter(0)):
+            prints, counts = merged_all(CountingQuotientFilter.from_bytes(raw) for _, raw in own).entries()
+            prints = prints[counts > 1] >> np.uint64(bits) | np.uint64(number << (64 - bits))
+            yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64))], names=["print"])
+
+    return run
 
 
 def exact_copies(documents: DataFrame) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` for every row."""
     docs = id_and_text(documents)
     prints = stored(map_arrow(docs, _prints, "doc_id long, print long, digest binary"))
-    filters = map_arrow(prints.select("print"), _filters, "range int, filter binary")
-    repeated = map_arrow(filters.repartition("range").sortWithinPartitions("range"), _repeated, "print long")
+    bits = range_bits(prints.count())
+    filters = map_arrow(prints.select("print"), _filters(bits), "range int, filter binary")
+    repeated = map_arrow(filters.repartition("range").sortWithinPartitions("range"), _repeated(bits), "print long")
     wanted = stored(prints.join(repeated, "print", "left_semi").select(F.col("doc_id").alias("wanted")).distinct())
     groups = (
         docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")

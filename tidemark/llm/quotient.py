@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 
@@ -63,3 +65,15 @@ class CountingQuotientFilter:
             parts.append(np.frombuffer(raw, kind, n, at))
             at += n * np.dtype(kind).itemsize
         return cls(bits, parts[2], parts[3], parts[0], parts[1])
+
+
+def merged_all(filters: Iterable[CountingQuotientFilter]) -> CountingQuotientFilter | None:
+    """All of them in one (None if there are none); like sizes merge, so an entry moves only log(n) times."""
+    held: list[CountingQuotientFilter] = []
+    for one in filters:
+        while held and len(held[-1].remainders) <= 2 * len(one.remainders):
+            one = held.pop().merged(one)
+        held.append(one)
+    while len(held) > 1:
+        held.append(held.pop().merged(held.pop()))
+    return held[0] if held else None
