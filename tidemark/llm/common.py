@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows and UTF-8 bytes that a Python worker holds at once (one longer text is a batch of its own).
+#: Rows and UTF-8 bytes that a Python worker gets and holds at once (one longer text is a batch of its own).
 BATCH_ROWS = 1000
 BATCH_BYTES = 2 << 20
 
@@ -44,8 +44,9 @@ def stored(frame: DataFrame) -> DataFrame:
 
 
 def map_arrow(frame: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows."""
+    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``."""
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return frame.mapInArrow(each, schema)
 
 
