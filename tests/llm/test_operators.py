@@ -134,6 +134,26 @@ def test_exact_copies(spark, awkward):
     assert rest.schema == awkward.schema
 
 
+def test_a_hot_text_is_split(spark):
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in lowered}
+    for k, v in lowered.items():
+        spark.conf.set(k, v)
+    try:
+        rest = exact.without_copies(documents(spark, ["hot"] * 8000 + [f"text {i}" for i in range(800)]).repartition(16))
+        assert len(rest.collect()) == 801
+        assert "skew=true" in rest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_exact_copies_of_null_and_repeated_ids(spark):
     rows = exact.exact_copies(documents(spark, ["x", "X", "x", "y"], [None, 3, 3, None])).collect()
     assert sorted((r.doc_id is None, r.keep_id is None, r.group_size, r.kept) for r in rows) == [(False, False, 3, True)] * 2 + [(True, False, 3, False), (True, True, 1, True)]

@@ -112,7 +112,8 @@ def exact_copies(documents: DataFrame) -> DataFrame:
     )
     rows = prints.select("doc_id", F.lower(F.hex("digest")).alias("text_sha256"))
     alone = F.col("group_size").isNull()
-    return rows.join(groups, rows.text_sha256 == groups.sha, "left").select(
+    # null-safe equality gives the join shuffles of its own, of which Spark can split a hot text's
+    return rows.join(groups, rows.text_sha256.eqNullSafe(groups.sha), "left").select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
