@@ -703,6 +703,64 @@ def _bodies() -> dict[str, str]:
               [(t, c, n) for _, c, t, n in seeds.ANOMALIES if c],
               'table_name, sub_code, expected_count')})
           LEFT JOIN counted USING (table_name, sub_code)""",
+        "anomaly_counts_check": f"""
+          WITH late AS (SELECT *, order_delivered_customer_date > TIMESTAMP '{CUTOFF}' AS is_late
+              FROM latest_orders),
+            flagged AS (SELECT table_name, flag, count(*) AS n FROM ({EVERY_FLAG}) GROUP BY ALL),
+            due AS (SELECT order_id, coalesce(sum(price), 0) + coalesce(sum(freight_value), 0) AS total
+              FROM silver_items GROUP BY 1),
+            paid AS (SELECT order_id, coalesce(sum(payment_value), 0) AS total
+              FROM silver_payments GROUP BY 1),
+            newest_reviews AS (SELECT review_answer_timestamp FROM raw_reviews
+              QUALIFY {seq_of('batch_id')} = max({seq_of('batch_id')}) OVER (
+                PARTITION BY review_id, order_id)),
+            untranslated AS (SELECT product_category_name FROM silver_products
+              WHERE product_category_name IS NOT NULL AND product_category_en IS NULL),
+            counted AS (
+              SELECT an_id, sub_code, coalesce(n, 0) AS n
+              FROM (SELECT * FROM {values(
+                  [(a, c, t) for a, c, t, _ in seeds.ANOMALIES
+                   if c in {f for f, *_ in seeds.FLAGS} - {'E1'}],
+                  'an_id, sub_code, table_name')}) k
+              LEFT JOIN flagged f ON f.table_name = k.table_name AND f.flag = k.sub_code
+              UNION ALL SELECT 'AN-15', 'E1', count(DISTINCT session_id) FROM silver_events
+              WHERE list_contains(string_split(dq_flag, ','), 'E1')
+              UNION ALL SELECT 'AN-04', NULL, count(*) FROM silver_orders o
+              WHERE NOT EXISTS (SELECT 1 FROM silver_items i WHERE i.order_id = o.order_id)
+              UNION ALL SELECT 'AN-06', 'P1_P2_P3', count(*) FROM silver_payments
+              WHERE dq_flag SIMILAR TO '.*P[123].*'
+              UNION ALL SELECT 'AN-07', NULL, count(*) FROM due JOIN paid USING (order_id)
+              WHERE abs(due.total - paid.total) > 0.01
+              UNION ALL SELECT 'AN-08', NULL, count(*) FROM (SELECT review_id FROM silver_reviews
+                WHERE review_id IS NOT NULL GROUP BY 1 HAVING count(DISTINCT order_id) > 1)
+              UNION ALL SELECT 'AN-10', 'missing_translation_categories',
+                count(DISTINCT product_category_name) FROM untranslated
+              UNION ALL SELECT 'AN-10', 'missing_translation_products', count(*) FROM untranslated
+              UNION ALL SELECT 'AN-11', NULL, count(*) FROM (
+                SELECT {i.CITY} AS city, lower(n_name) || ' town' AS tidy
+                FROM supplier JOIN nation ON s_nationkey = n_nationkey) WHERE city <> tidy
+              UNION ALL SELECT 'AN-12', NULL, coalesce(sum(n - 1), 0) FROM (
+                SELECT count(*) AS n FROM customer
+                GROUP BY c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)), c_custkey, c_mktsegment)
+              UNION ALL SELECT 'AN-14', 'orders_source_excluded', count(*) FROM late WHERE is_late
+              UNION ALL SELECT 'AN-14', 'reviews_source_excluded', count(*) FROM newest_reviews
+              WHERE {safe_cast('review_answer_timestamp', 'TIMESTAMP')} > TIMESTAMP '{CUTOFF}'
+              UNION ALL SELECT 'AN-14', 'silver_post_cutoff_expected', count(*) FROM silver_orders
+              WHERE greatest(order_purchase_timestamp, order_approved_at,
+                order_delivered_carrier_date, order_delivered_customer_date) > TIMESTAMP '{CUTOFF}'
+              UNION ALL SELECT 'AN-14', 'reviews_silver_post_cutoff_expected', count(*)
+              FROM silver_reviews WHERE review_answer_timestamp > TIMESTAMP '{CUTOFF}'
+              UNION ALL SELECT 'AN-16', 'shipped_overdue_undelivered', count(*) FROM late
+              WHERE order_status = 'shipped' AND order_delivered_customer_date IS NULL
+                AND CAST(order_estimated_delivery_date AS DATE) <= DATE '{CUTOFF_DATE}'
+              UNION ALL SELECT 'AN-16', 'post_cutoff_delivered_carrier', count(*) FROM late
+              WHERE is_late AND order_delivered_carrier_date <= TIMESTAMP '{CUTOFF}'
+              UNION ALL SELECT 'AN-16', 'total_overdue_undelivered', count(*) FROM fact_order
+              WHERE is_overdue_undelivered)
+          SELECT e.an_id, e.sub_code, e.table_name, CAST(coalesce(n, -1) AS BIGINT) AS actual_count,
+            CAST(expected_count AS BIGINT) AS expected_count
+          FROM (SELECT * FROM {values(seeds.ANOMALIES, 'an_id, sub_code, table_name, expected_count')}) e
+          LEFT JOIN counted c ON c.an_id = e.an_id AND c.sub_code IS NOT DISTINCT FROM e.sub_code""",
         "batch_row_counts_check": f"""
           WITH actual AS (
               SELECT 'orders' AS table_name, batch_id, count(*) AS n FROM raw_orders GROUP BY 2

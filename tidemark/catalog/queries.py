@@ -14,7 +14,7 @@ from tidemark.functions import calendar, casting, flags, text
 from tidemark.operators import batches as batch_ops
 from tidemark.operators import checks, compare, latest, sets
 from tidemark.operators.skew import lookup_join
-from tidemark.plans import gold, seeds, silver
+from tidemark.plans import anomalies, gold, seeds, silver
 from tidemark.plans.contract import GOLD_COLUMNS, GOLD_KEYS, KPI_TABLES, columns_of
 from tidemark.sources import ledger, raw_csv, raw_leads, raw_logs, tables
 from tidemark.sources.scratch import scratch_path
@@ -803,6 +803,22 @@ def expected_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def anomaly_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All published anomalies, those without a flag too, beside their counts."""
+    t = Tables(spark, sf_dir)
+    names = (
+        "orders", "order_items", "order_payments", "order_reviews", "products", "leads",
+        "clickstream_events", "fact_order", "bronze_orders", "bronze_order_reviews",
+    )
+    raw = {
+        "bronze_sellers": inputs.raw_sellers(spark, sf_dir),
+        "bronze_geolocation": inputs.raw_points(spark, sf_dir),
+    }
+    actual = anomalies.anomaly_counts({n: t[n] for n in names} | raw, BATCHES)
+    return anomalies.beside_expected(actual, seeds.expected_anomalies(spark))
+
+
 @query
 def batch_row_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows per batch beside the published ones."""

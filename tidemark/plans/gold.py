@@ -101,6 +101,16 @@ def chosen_reviews(silver_reviews: DataFrame) -> DataFrame:
     return first_per_key(usable, ["order_id"], newest_first).select("order_id", "review_score")
 
 
+def is_overdue_undelivered(plan: BatchPlan) -> Column:
+    """Shipped, not arrived, and expected by the cutoff's day."""
+    expected = F.col("order_estimated_delivery_date").cast("date")
+    return (
+        (F.col("order_status") == SHIPPED)
+        & F.col("order_delivered_customer_date").isNull()
+        & (expected <= F.lit(plan.cutoff_date).cast("date"))
+    )
+
+
 def fact_order(
     silver_orders: DataFrame, silver_items: DataFrame, silver_reviews: DataFrame, plan: BatchPlan
 ) -> DataFrame:
@@ -119,11 +129,6 @@ def fact_order(
         & ~has_flag(flags, "D2")
         & ~has_flag(flags, "D4")
     )
-    overdue = (
-        (status == SHIPPED)
-        & customer.isNull()
-        & (estimate.cast("date") <= F.lit(plan.cutoff_date).cast("date"))
-    )
     with_items = lookup_join(silver_orders, order_items_rollup(silver_items), ["order_id"], "left")
     joined = lookup_join(with_items, chosen_reviews(silver_reviews), ["order_id"], "left")
     return conform(
@@ -142,7 +147,7 @@ def fact_order(
             F.when(delivered, calendar_days(customer, purchase)).alias("delivery_days"),
             F.when(delivered, calendar_days(customer, carrier)).alias("shipping_days"),
             F.when(delivered, customer.cast("date") > estimate.cast("date")).alias("is_late"),
-            F.coalesce(overdue, F.lit(False)).alias("is_overdue_undelivered"),
+            F.coalesce(is_overdue_undelivered(plan), F.lit(False)).alias("is_overdue_undelivered"),
             "review_score",
             "batch_id",
         ),

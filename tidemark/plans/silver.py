@@ -231,25 +231,34 @@ def _trimmed(raw: DataFrame, columns: list[str]) -> DataFrame:
     return raw.withColumns({c: blank_to_null(F.col(c)) for c in columns})
 
 
+ORDER_TIMES = (
+    "order_purchase_timestamp",
+    "order_approved_at",
+    "order_delivered_carrier_date",
+    "order_delivered_customer_date",
+    "order_estimated_delivery_date",
+)
+
+
+def exported_orders(
+    raw: DataFrame, plan: BatchPlan
+) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    """Latest snapshot per order as the source has it, and the flags of casts that failed."""
+    named = _trimmed(raw, ["order_id", "customer_id", "order_status"])
+    latest = latest_rows(with_batch_seq(named, plan), ["order_id"], "batch_seq")
+    return _typed(latest, {c: "TIMESTAMP" for c in ORDER_TIMES})
+
+
 def orders(raw: DataFrame, plan: BatchPlan) -> DataFrame:
     """Latest snapshot per order, as it stood at the cutoff.
 
     Times after the cutoff have not happened yet. An order delivered after it was
     therefore shipped, if the carrier had it by then, else approved or created.
     """
-    named = _trimmed(raw, ["order_id", "customer_id", "order_status"])
-    latest = latest_rows(with_batch_seq(named, plan), ["order_id"], "batch_seq")
-    times = (
-        "order_purchase_timestamp",
-        "order_approved_at",
-        "order_delivered_carrier_date",
-        "order_delivered_customer_date",
-        "order_estimated_delivery_date",
-    )
-    typed, failed = _typed(latest, {c: "TIMESTAMP" for c in times})
+    typed, failed = exported_orders(raw, plan)
     happened = {
         c: F.when(~plan.after_cutoff(F.col(c)), F.col(c))
-        for c in times[1:4]  # an estimate may lie in the future
+        for c in ORDER_TIMES[1:4]  # an estimate may lie in the future
     }
     purchase = F.col("order_purchase_timestamp")
     approved, carrier, customer = happened.values()
@@ -326,12 +335,10 @@ def order_payments(raw: DataFrame) -> DataFrame:
     return conform(typed.withColumn("dq_flag", flags), "order_payments")
 
 
-def order_reviews(
-    raw: DataFrame,
-    silver_orders: DataFrame,
-    plan: BatchPlan,
-) -> DataFrame:
-    """Latest snapshot per review and order; answers after the cutoff are blank."""
+def exported_reviews(
+    raw: DataFrame, plan: BatchPlan
+) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    """Latest snapshot per review and order as the source has it, and the flags of casts that failed."""
     named = _trimmed(
         raw, ["review_id", "order_id", "review_comment_title", "review_comment_message"]
     )
@@ -349,12 +356,21 @@ def order_reviews(
         {"review_creation_date": "TIMESTAMP", "review_answer_timestamp": "TIMESTAMP"},
     )
     not_a_score = ("T1:review_score", cast_failed(F.col("__raw_score"), F.col("review_score")))
+    return typed, [not_a_score, *failed]
+
+
+def order_reviews(
+    raw: DataFrame,
+    silver_orders: DataFrame,
+    plan: BatchPlan,
+) -> DataFrame:
+    """Latest snapshot per review and order; answers after the cutoff are blank."""
+    typed, failed = exported_reviews(raw, plan)
     answered = F.col("review_answer_timestamp")
     dated = lookup_join(typed, _purchase_dates(silver_orders), ["order_id"], "left")
     flags = flag_list(
         [
             ("R2", F.col("review_creation_date").cast("date") < F.col("__purchase_date")),
-            not_a_score,
         ]
         + failed
     )
@@ -437,10 +453,15 @@ def customers(raw: DataFrame, plan: BatchPlan) -> DataFrame:
     )
 
 
+def newest_sellers(raw: DataFrame, plan: BatchPlan) -> DataFrame:
+    """The newest export of each seller, its city's name as it came."""
+    named = _trimmed(raw, ["seller_id", "seller_zip_code_prefix", "seller_state"])
+    return _newest(named, "seller_id", plan)
+
+
 def sellers(raw: DataFrame, plan: BatchPlan) -> DataFrame:
     """The newest export of each seller."""
-    named = _trimmed(raw, ["seller_id", "seller_zip_code_prefix", "seller_state"])
-    newest = _newest(named, "seller_id", plan)
+    newest = newest_sellers(raw, plan)
     return conform(
         newest.withColumn("seller_city", tidy_place_name(F.col("seller_city"))), "sellers"
     )
