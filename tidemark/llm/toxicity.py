@@ -5,7 +5,10 @@ hashed embeddings of the word and of its first three to five bytes. Filters of s
 to a logistic output. The classifier is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``, half
 of each class where there are as many); scoring reads every whole text. Thresholds are set by language,
 the language being told from the text's own function words, so a score depends on the text alone: the
-threshold's logit is taken off, and 0.5 is the threshold everywhere.
+threshold's logit is taken off, and 0.5 is the threshold everywhere. A language's threshold is the best F1 over
+all labelled rows outside the held-out fold whose text the classifier was not fitted on, each class weighted as it
+counts among all of them (over all rows, fitted or not, where fewer than ``LEAST_OF_CLASS`` of a class are left).
+Their logits are counted in steps of 1 / ``STEPS``.
 
 Null and empty texts score like a text without words. Rows are scored one by one: repeated rows alike,
 extra columns play no part. Labels that are null are left out; of several labels for a document the
@@ -39,6 +42,8 @@ ENOUGH = 0.01
 SCORED_BYTES = 1 << 20
 #: Documents of a language that its own threshold needs, of each class.
 LEAST_OF_CLASS = 20
+#: Steps of a logit that thresholds are told apart by, and the logit up to which they are.
+STEPS, FARTHEST = 64, 64
 # Common function words that the others of these languages lack.
 FUNCTION_WORDS = {
     "en": "the of and to is that for it was with by this are not",
@@ -121,6 +126,7 @@ class Model:
     output: np.ndarray = field(default_factory=lambda: np.zeros(FILTERS * len(WIDTHS), np.float32))
     bias: float = 0.0
     thresholds: np.ndarray = field(default_factory=lambda: np.zeros(len(LANGUAGES) + 1, np.float32))
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # checksums of the texts fitted on
 
     def vectors(self, features: np.ndarray) -> np.ndarray:
         found = self.embeddings[features[:, 0]]
@@ -155,13 +161,14 @@ def _languages(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def fitted(texts: list[str], toxic: list[int], seed: int = 1) -> Model:
-    """The classifier for these texts; every fifth (by the text's checksum) sets the thresholds only."""
+    """The classifier for these texts, without thresholds; every fifth (by the text's checksum) is kept for those."""
     labels = np.array(toxic, np.float32)
     if len(set(toxic)) < 2:
         return Model(constant=float(labels.mean()) if len(labels) else 0.0)
     words = Words.of_many(texts)
     starts, ends = words.starts, np.append(words.starts[1:], len(words.features))
-    apart = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) % 5 == 0 for t in texts])
+    sums = _checksums(texts)
+    apart = sums % 5 == 0
     if len(set(labels[~apart])) < 2 or min((labels[apart] == k).sum() for k in (0, 1)) < LEAST_OF_CLASS:
         apart[:] = False
     random = np.random.default_rng(seed)
@@ -176,11 +183,14 @@ def fitted(texts: list[str], toxic: list[int], seed: int = 1) -> Model:
     model.output[:] = 0.3
     model.bias = -2.0
     _train(model, words.features, starts, ends, labels, np.flatnonzero(~apart), random)
-    logits = np.concatenate([model.logits(model.vectors(words.features[a:b]), np.zeros(1, np.int64)) for a, b in zip(starts, ends)])
-    _calibrate(model, logits, labels, _languages(words.languages, starts), apart)
+    model.seen = np.unique(sums[~apart])
     return model
 
 
+def _checksums(texts: list[str]) -> np.ndarray:
+    return np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], np.uint32)
+
+
 def _log_odds(present: list[np.ndarray], labels: np.ndarray, use: np.ndarray) -> np.ndarray:
     """Of a feature's presence in toxic against clean texts, between -1 and 1; the training's start for one dimension."""
     counts = np.zeros((2, BUCKETS))
@@ -241,28 +251,68 @@ def _train(model: Model, features: np.ndarray, starts: np.ndarray, ends: np.ndar
             break
 
 
-def _calibrate(model: Model, logits: np.ndarray, labels: np.ndarray, languages: np.ndarray, apart: np.ndarray) -> None:
-    use = apart if len(set(labels[apart])) == 2 else np.ones(len(labels), bool)
-    model.thresholds[:] = _threshold(logits[use], labels[use])
+def _steps(documents: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, step, language, seen`` of every row: its logit, and whether its text was fitted on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches, most=SCORED_BYTES):
+            texts = batch.column("text").to_pylist()
+            if texts:
+                words = Words.of(texts)
+                logits = model.logits(model.vectors(words.features), words.starts)
+                steps = np.floor(np.clip(logits, -FARTHEST, FARTHEST).astype(np.float64) * STEPS)
+                columns = (steps, _languages(words.languages, words.starts), np.isin(_checksums(texts), model.seen))
+                kinds = (np.int32, np.int32, bool)
+                arrays = [pa.array(c.astype(k)) for c, k in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names=["doc_id", "step", "language", "seen"])
+
+    return map_arrow(documents, run, "doc_id long, step int, language int, seen boolean")
+
+
+def _calibrate(model: Model, steps: np.ndarray, languages: np.ndarray, labels: np.ndarray, seen: np.ndarray, counts: np.ndarray) -> None:
+    """Thresholds from the numbers of rows (``counts``) of each step, language, label and state of ``seen``."""
+
+    def of(rows: np.ndarray, use: np.ndarray) -> float | None:
+        weights = np.zeros(len(counts))
+        for k in (0, 1):
+            own = rows & (labels == k)
+            left = counts[own & use].sum()
+            if left < LEAST_OF_CLASS:
+                return None
+            weights[own & use] = counts[own & use] * (counts[own].sum() / left)
+        return _threshold(steps, labels, weights)
+
+    every = np.ones(len(counts), bool)
+    use = ~seen
+    overall = of(every, use)
+    if overall is None:
+        use = every
+        overall = _threshold(steps, labels, counts)
+    model.thresholds[:] = overall
     for k in range(1, len(LANGUAGES) + 1):
-        own = use & (languages == k)
-        if min((labels[own] == 1).sum(), (labels[own] == 0).sum()) >= LEAST_OF_CLASS:
-            model.thresholds[k] = _threshold(logits[own], labels[own])
+        own = of(languages == k, use)
+        if own is not None:
+            model.thresholds[k] = own
 
 
-def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
+def _threshold(steps: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
     """The middle of the cut with the best F1."""
-    order = np.argsort(-logits, kind="stable")
-    found = np.cumsum(labels[order])
-    score = 2 * found / (np.arange(1, len(order) + 1) + labels.sum())
+    found, place = np.unique(-steps[weights > 0], return_inverse=True)
+    toxic, rows = (np.bincount(place, weights=(w * weights)[weights > 0]) for w in (labels, np.ones(len(labels))))
+    score = 2 * np.cumsum(toxic) / (np.cumsum(rows) + toxic.sum())
     tops = np.flatnonzero(score >= score.max() - 1e-12)
     best = int(tops[len(tops) // 2])
-    below = logits[order[best + 1]] if best + 1 < len(order) else logits[order[best]] - 1
-    return float((logits[order[best]] + below) / 2)
+    lowest = -found[best]
+    below = 1 - found[best + 1] if best + 1 < len(found) else lowest - 2 * STEPS
+    return float((lowest + below) / 2 / STEPS)
 
 
 def trained(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fitted on labelled rows outside the held-out fold; only ids and labels are sorted, ``sample_rows`` texts come here."""
+    """Fitted on ``sample_rows`` labelled rows outside the held-out fold, which come here; thresholds by all of them, counted.
+
+    Rows are scored where they are; only their steps meet the labels, and at most a row for each step, language, label and
+    state of ``seen`` comes here.
+    """
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy(F.col("doc_id").cast("long").alias("id"))
@@ -274,7 +324,14 @@ def trained(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     picked = F.broadcast(halves[0].unionByName(halves[1]))  # at most sample_rows ids
     docs = id_and_text(documents)
     rows = docs.join(picked, docs.doc_id == picked.id).select("doc_id", "text", "label").orderBy("doc_id", "text").limit(sample_rows).collect()
-    return fitted([r.text for r in rows], [r.label for r in rows])
+    model = fitted([r.text for r in rows], [r.label for r in rows])
+    if model.constant is None:
+        placed = _steps(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), model)
+        told = placed.join(known, F.col("doc_id").eqNullSafe(F.col("id")))
+        counted = told.groupBy("step", "language", "label", "seen").agg(F.count("*").alias("n")).collect()
+        steps, languages, labelled, seen, counts = (np.array(c) for c in zip(*counted))
+        _calibrate(model, steps, languages, labelled, seen, counts)
+    return model
 
 
 def held_out(doc_id: F.Column) -> F.Column:
