@@ -6,7 +6,8 @@ is one run, a text without words has no links. Texts with equal sets are one cla
 1. ``BANDS`` bands of ``ROWS`` MinHash values put sets into buckets; sets that agree in no band are never
    compared (at a similarity of 0.8 all bands differ for 3 pairs in a million).
 2. Within a bucket MinHash values are compared a few at a time. A pair is dropped once the posterior probability
-   that its similarity reaches the threshold (uniform prior) falls below ``TOLERANCE``. The bucket
+   that its similarity reaches the threshold (uniform prior) falls below ``TOLERANCE``, at a similarity of 0.8
+   once in a million pairs. Every bucket compares the same sketches, so such a pair gets no second chance. The bucket
    reports which sets hang together, a row for each set and never a row for each pair.
 3. The clusters that follow get their sets, and all pairs within a cluster are verified exactly: the sets'
    incidence matrix times its transpose gives all intersections. Large buckets and clusters are
@@ -37,7 +38,7 @@ WORDS = 5
 THRESHOLD = (4, 5)  # 0.8 as a fraction, so that it is compared in whole numbers
 BANDS, ROWS = 32, 5
 STEP = 16
-TOLERANCE = 1e-5
+TOLERANCE = 1e-7
 #: Sets of a bucket, and of a cluster, that one task compares with as many others.
 BUCKET_BLOCK, CLUSTER_BLOCK = 2000, 256
 _COLUMNS = 8192
