@@ -11,18 +11,31 @@ from tidemark.plans.contract import GOLD_COLUMNS
 from tidemark.sources.scratch import written_table
 
 
+def input_files(spark: SparkSession, sf_dir: str) -> frozenset[tuple[str, int, int]]:
+    """Path, size and modification time of every file of a folder, in any store that Spark reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    listed = store.listFiles(folder, True)
+    found = set()
+    while listed.hasNext():
+        file = listed.next()
+        found.add((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return frozenset(found)
+
+
 class Tables:
     """Tables over one folder; what several models read is a finished table, as in a batch run.
 
-    A finished table is written once per session and folder, when it is first read, so
-    the input files must not change while a session runs. ``build`` computes one table
-    from the finished tables below it.
+    A finished table is written once per session and state of the folder, when it is first
+    read: files that are replaced, added or removed are seen by the next ``Tables``. ``build``
+    computes one table from the finished tables below it.
     """
 
-    _finished: dict[tuple[str, str, str], DataFrame] = {}
+    _finished: dict[tuple[str, str, frozenset, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._files = input_files(spark, sf_dir)
 
     def build(self, name: str) -> DataFrame:
         return BUILDERS[name](self)
@@ -30,7 +43,7 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in FINISHED:
             return self.build(name)
-        place = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        place = (self.spark.sparkContext.applicationId, self.sf_dir, self._files, name)
         if place not in self._finished:
             self._finished[place] = written_table(self.build(name), name)
         return self._finished[place]
