@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact, fingerprints, jaccard, packing, passages, secrets, suffixes, tokens, toxicity
+from tidemark.llm import chat, counts, divergence, exact, fingerprints, jaccard, packing, passages, resampling, secrets, suffixes, tokens, toxicity
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_earlier_passages(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_suffix_dedup, op3_fingerprints, op4_toxicity, op5_secrets, op6_byte_bpe, op7_packing, op8_jaccard_join, op9_exact_dedup, op10_substring_dedup)}
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
-ORACLES: dict[str, str] = {"op1_chat_formatting": chat.ORACLE, "op9_exact_dedup": exact.ORACLE}
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(read_table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_formatting, op2_suffix_dedup, op3_fingerprints, op4_toxicity, op5_secrets, op6_byte_bpe, op7_packing, op8_jaccard_join, op9_exact_dedup, op10_substring_dedup, op11_resampling, op12_divergence, op13_token_counts)}
+
+ORACLES: dict[str, str] = {"op1_chat_formatting": chat.ORACLE, "op9_exact_dedup": exact.ORACLE, "op11_resampling": resampling.ORACLE, "op12_divergence": divergence.ORACLE}
