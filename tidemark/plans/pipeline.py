@@ -2,22 +2,29 @@
 
     <root>/raw/<source>/<batch_id>/<file>     what arrives
     <root>/bronze/<table>/batch_id=...        parsed, verbatim text kept, one partition per batch
+    <root>/state/<table>                      winning rows per key, bucketed (``sources.state``)
     <root>/silver/<table>, <root>/gold/<table>
     <root>/ops/runs, <root>/ops/manifest/...
 
 Every layer is a written table before the next one reads it, so a lost executor
 never costs more than the step it was working on, and a step can be run again.
+State, silver and gold are layers of versions (``sources.versions``): a run writes drafts, its checks
+read them, and only what passed them is shown to readers.
+
+Of leads, orders, reviews and events a batch reads its own bronze rows and the states; silver leads,
+orders and events are rewritten in the parts that its keys fall into.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.flags import has_flag
@@ -39,13 +46,24 @@ from tidemark.sources.tables import (
     add_audit_columns,
     batch_load_summary,
     overwrite_batches,
-    publish,
     write_manifest,
 )
+from tidemark.sources.state import KeyedState, Shape
+from tidemark.sources.versions import Draft, Layer
 
 EVENTS, LEADS = "clickstream_events", "marketing_leads"
 LOG_FILE, LEADS_FILE = "access_log.txt", "marketing_leads.jsonl"
 MULTI_LINE_EXPORTS = ("order_reviews",)
+VERSIONED = ("state", "silver", "gold")
+
+
+LEAD_STATE = Shape("leads", ("mql_id",))
+EVENT_STATE = Shape(
+    "clickstream_events", ("session_id", "line"), within=("session_id",), newest=False,
+    order=("source_file", "ingested_at"),
+)
+ORDER_STATE = Shape("orders", ("order_id",))
+REVIEW_STATE = Shape("order_reviews", ("review_id", "order_id"))
 
 
 class BatchOrderError(RuntimeError):
@@ -58,7 +76,25 @@ class RowCountError(RuntimeError):
 
 @dataclass(frozen=True)
 class Layout:
+    """Where the tables are; a draft that is open stands in for its layer."""
+
     root: str
+    drafts: dict[str, Draft] = field(default_factory=dict, compare=False)
+
+    def layer(self, spark: SparkSession, name: str) -> Layer:
+        return Layer(spark, f"{self.root}/{name}")
+
+    def draft(self, spark: SparkSession, name: str) -> Draft:
+        if name not in self.drafts:
+            self.drafts[name] = self.layer(spark, name).draft()
+        return self.drafts[name]
+
+    def publish(self, *names: str) -> None:
+        """Shows the drafts of these layers to readers and lets go of versions nobody needs."""
+        for name in names:
+            draft = self.drafts.pop(name)
+            draft.commit()
+            draft.layer.prune()
 
     def raw(self, source: str, batch_id: str, file_name: str) -> str:
         return f"{self.root}/raw/{source}/{batch_id}/{file_name}"
@@ -67,8 +103,18 @@ class Layout:
         return f"{self.root}/{layer}/{name}"
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
+        if layer in self.drafts:
+            return self.drafts[layer].read(name)
+        if layer in VERSIONED:
+            return self.layer(spark, layer).read(name)
         return spark.read.parquet(self.table(layer, name))
 
+    def bronze_batches(self, spark: SparkSession, name: str) -> list[str]:
+        """Batches that a bronze table has, from its folders."""
+        folders = self.layer(spark, "bronze").names(name)
+        found = [unquote(f.removeprefix("batch_id=")) for f in folders if f.startswith("batch_id=")]
+        return sorted(found)
+
 
 def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
     """A batch may come without some of its files."""
@@ -139,36 +185,84 @@ def _no_bronze(spark: SparkSession, name: str) -> DataFrame:
     return add_audit_columns(frame, F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
-def build_silver(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
-    """All silver tables and their rejects, from whole bronze tables."""
+def _take_in(
+    spark: SparkSession, layout: Layout, plan: BatchPlan, shape: Shape, bronze_name: str,
+    versions: Callable[[DataFrame], DataFrame], batch_id: str | None,
+) -> tuple[DataFrame, list[int]]:
+    """A state with the batch taken in: its rows in the parts that were written, and those parts.
 
-    def write(name: str, frame: DataFrame) -> None:
+    Where the state does not know what bronze has besides this batch (its first use, batches that
+    are not planned), it is built from all of bronze.
+    """
+    state, draft = KeyedState(layout.layer(spark, "state"), shape, plan), layout.draft(spark, "state")
+    bronze = _bronze(spark, layout, bronze_name)
+    there = layout.bronze_batches(spark, bronze_name)
+    new = shape.name not in draft.tables
+    if batch_id is None or new or {*there, batch_id} != {*state.batches(draft), batch_id}:
+        parts = state.rebuild(draft, versions(bronze), [b for b in plan.ids if b in there])
+    elif batch_id in there:
+        rows = lambda *of: versions(bronze.filter(F.col("batch_id").isin(*of)))
+        parts = state.load(draft, batch_id, rows(batch_id), lambda others: rows(*others))
+    else:
+        parts = []
+    if shape.name not in layout.draft(spark, "silver").tables:
+        parts = list(range(shape.parts))
+    return state.current(draft, parts), parts
+
+
+def build_silver(spark: SparkSession, layout: Layout, plan: BatchPlan, batch_id: str | None = None) -> None:
+    """Drafts of all silver tables and their rejects, after one batch or from whole bronze tables."""
+    draft = layout.draft(spark, "silver")
+
+    def agreed(name: str, frame: DataFrame) -> DataFrame:
         problems = contract_problems(frame, name) if name in SILVER_COLUMNS else []
         if problems:
             raise ValueError(f"{name}: {problems}")
-        publish(frame, layout.table("silver", name))
+        return frame
+
+    def write(name: str, frame: DataFrame) -> None:
+        draft.write(name, agreed(name, frame))
+
+    def write_parts(name: str, frame: DataFrame, part: Column, parts: Iterable[int]) -> None:
+        if parts:
+            draft.write_parts(name, agreed(name, frame).withColumn("part", part), parts)
 
     def written(name: str) -> DataFrame:
         return layout.read(spark, "silver", name)
 
-    evaluated_leads = silver.evaluate_leads(_bronze(spark, layout, LEADS))
-    write("leads", silver.leads(evaluated_leads, plan))
-    write("leads_rejects", silver.leads_rejects(evaluated_leads))
+    def write_rejects(name: str, bronze_name: str, rejects: Callable[[DataFrame], DataFrame]) -> None:
+        """Rejects by batch; those of other batches stay as they are."""
+        bronze = _bronze(spark, layout, bronze_name)
+        position = F.coalesce(plan.position_of(F.col("batch_id")), F.lit(len(plan.ids)))
+        known = list(range(len(plan.ids) + 1))
+        if batch_id is not None and name in draft.tables:
+            bronze, known = bronze.filter(F.col("batch_id") == batch_id), [plan.sequence_of(batch_id)]
+        write_parts(name, rejects(bronze), position, known)
+
+    def take_in(shape: Shape, name: str, versions: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list[int]]:
+        return _take_in(spark, layout, plan, shape, name, versions, batch_id)
 
-    evaluated_events = silver.evaluate_events(_bronze(spark, layout, EVENTS))
-    unique = layout.table("work", "distinct_events")
-    publish(silver.distinct_events(evaluated_events, plan), unique)
-    write("clickstream_events", silver.clickstream_events(spark.read.parquet(unique)))
-    write("clickstream_rejects", silver.events_rejects(evaluated_events))
+    latest, parts = take_in(LEAD_STATE, LEADS, lambda x: silver.lead_versions(silver.evaluate_leads(x)))
+    write_parts("leads", silver.typed_leads(latest), LEAD_STATE.part(), parts)
+    write_rejects("leads_rejects", LEADS, lambda x: silver.leads_rejects(silver.evaluate_leads(x)))
 
-    write("orders", silver.orders(_bronze(spark, layout, "orders"), plan))
+    unique, parts = take_in(
+        EVENT_STATE, EVENTS, lambda x: silver.event_versions(silver.evaluate_events(x))
+    )
+    write_parts("clickstream_events", silver.clickstream_events(unique), EVENT_STATE.part(), parts)
+    write_rejects(
+        "clickstream_rejects", EVENTS, lambda x: silver.events_rejects(silver.evaluate_events(x))
+    )
+
+    latest, parts = take_in(ORDER_STATE, "orders", silver.order_versions)
+    write_parts("orders", silver.latest_orders(latest, plan), ORDER_STATE.part(), parts)
     orders = written("orders")
     write("order_items", silver.order_items(_bronze(spark, layout, "order_items"), orders))
     write("order_payments", silver.order_payments(_bronze(spark, layout, "order_payments")))
-    write(
-        "order_reviews",
-        silver.order_reviews(_bronze(spark, layout, "order_reviews"), orders, plan),
-    )
+    take_in(REVIEW_STATE, "order_reviews", silver.review_versions)
+    reviews = KeyedState(layout.layer(spark, "state"), REVIEW_STATE, plan)
+    latest = reviews.current(layout.draft(spark, "state"))
+    write("order_reviews", silver.latest_reviews(latest, orders, plan))
     write("customers", silver.customers(_bronze(spark, layout, "customers"), plan))
     write("sellers", silver.sellers(_bronze(spark, layout, "sellers"), plan))
     write(
@@ -187,7 +281,8 @@ def build_silver(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
 
 
 def build_gold(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
-    """Dimensions, then facts, then KPI tables, each from written tables."""
+    """Drafts of the dimensions, then facts, then KPI tables, each from written tables."""
+    draft = layout.draft(spark, "gold")
     s = lambda name: layout.read(spark, "silver", name)
     g = lambda name: layout.read(spark, "gold", name)
     steps: dict[str, Callable[[], DataFrame]] = {
@@ -219,7 +314,7 @@ def build_gold(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
         problems = contract_problems(frame, name)
         if problems:
             raise ValueError(f"{name}: {problems}")
-        publish(frame, layout.table("gold", name))
+        draft.write(name, frame)
 
 
 def batch_checks(
@@ -417,7 +512,9 @@ def run_batch(
     plan: BatchPlan = MARKETPLACE_BATCHES,
     run_id: str | None = None,
 ) -> DataFrame:
-    """Load one batch and rebuild silver and gold; returns the report of all checks.
+    """Load one batch, bring silver and gold up to date; returns the report of all checks.
+
+    Silver is shown to readers when its checks have passed, then gold when its own have.
 
     The run is recorded whether it succeeds or fails; checks of severity
     ``error`` that find something fail it.
@@ -432,13 +529,15 @@ def run_batch(
         n_in = load_bronze(spark, layout, batch_id)
         write_manifests(spark, layout, batch_id)
         step = "silver"
-        build_silver(spark, layout, plan)
+        build_silver(spark, layout, plan, batch_id)
         silver_report = checks.raise_on_errors(
             checks.report(silver_checks(spark, layout, plan, batch_id))
         )
+        layout.publish("state", "silver")
         step = "gold"
         build_gold(spark, layout, plan)
         gold_report = checks.raise_on_errors(checks.report(gold_checks(spark, layout, plan)))
+        layout.publish("gold")
         n_out = rows_out(spark, layout)
         status = ledger.SUCCESS
         return silver_report.unionByName(gold_report)

@@ -56,11 +56,9 @@ def leads_rejects(evaluated: DataFrame) -> DataFrame:
     return evaluated.filter(is_reject(F.col("reject_reason")))
 
 
-def leads(
-    evaluated: DataFrame, plan: BatchPlan
-) -> DataFrame:
-    """One row per lead: the snapshot of its latest batch, the deal flattened."""
-    valid = evaluated.filter(none_of(_lead_faults())).select(
+def lead_versions(evaluated: DataFrame) -> DataFrame:
+    """The valid rows of any batches, of which the latest per lead count."""
+    return evaluated.filter(none_of(_lead_faults())).select(
         F.trim("mql_id").alias("mql_id"),
         safe_cast(F.col("first_contact_date"), "DATE").alias("first_contact_date"),
         F.trim("landing_page_id").alias("landing_page_id"),
@@ -69,8 +67,15 @@ def leads(
         "source_file",
         "batch_id",
     )
-    latest = latest_rows(with_batch_seq(valid, plan), ["mql_id"], "batch_seq")
 
+
+def leads(evaluated: DataFrame, plan: BatchPlan) -> DataFrame:
+    """One row per lead: the snapshot of its latest batch, the deal flattened."""
+    versions = with_batch_seq(lead_versions(evaluated), plan)
+    return typed_leads(latest_rows(versions, ["mql_id"], "batch_seq"))
+
+
+def typed_leads(latest: DataFrame) -> DataFrame:
     has_deal = F.col("deal").isNotNull()
 
     def deal(field: str) -> Column:
@@ -161,13 +166,25 @@ def mark_session_moments(
     return lookup_join(events, marked, ["session_id", instant], "inner")
 
 
+def event_versions(evaluated: DataFrame) -> DataFrame:
+    """The valid lines of any batches with a digest of their text; of equal lines the earliest counts."""
+    valid = evaluated.filter(none_of(_event_faults()))
+    return valid.select(
+        *_event_columns(), F.unhex(F.sha2("raw_line", 256)).alias("line"), "ingested_at"
+    )
+
+
 def distinct_events(evaluated: DataFrame, plan: BatchPlan) -> DataFrame:
     """One row per distinct log line; lines of batches that are not planned rank last and stay."""
     valid = evaluated.filter(none_of(_event_faults())).withColumn(
         "batch_seq", plan.position_of(F.col("batch_id"))
     )
     order = [F.asc_nulls_last("batch_seq"), F.asc("source_file"), F.asc("ingested_at")]
-    return distinct_lines(valid, "raw_line", order).select(
+    return distinct_lines(valid, "raw_line", order).select(*_event_columns())
+
+
+def _event_columns() -> list[Column | str]:
+    return [
         F.trim("user_id").alias("user_id"),
         F.trim("session_id").alias("session_id"),
         blank_to_null(F.col("order_id")).alias("order_id"),
@@ -179,7 +196,7 @@ def distinct_events(evaluated: DataFrame, plan: BatchPlan) -> DataFrame:
         "event_ts",
         "source_file",
         "batch_id",
-    )
+    ]
 
 
 def clickstream_events(unique: DataFrame) -> DataFrame:
@@ -240,22 +257,39 @@ ORDER_TIMES = (
 )
 
 
+def order_versions(raw: DataFrame) -> DataFrame:
+    """Exports of any batches, of which the latest per order count."""
+    return _trimmed(raw, ["order_id", "customer_id", "order_status"])
+
+
 def exported_orders(
     raw: DataFrame, plan: BatchPlan
 ) -> tuple[DataFrame, list[tuple[str, Column]]]:
     """Latest snapshot per order as the source has it, and the flags of casts that failed."""
-    named = _trimmed(raw, ["order_id", "customer_id", "order_status"])
-    latest = latest_rows(with_batch_seq(named, plan), ["order_id"], "batch_seq")
+    versions = with_batch_seq(order_versions(raw), plan)
+    return _typed_orders(latest_rows(versions, ["order_id"], "batch_seq"))
+
+
+def _typed_orders(latest: DataFrame) -> tuple[DataFrame, list[tuple[str, Column]]]:
     return _typed(latest, {c: "TIMESTAMP" for c in ORDER_TIMES})
 
 
 def orders(raw: DataFrame, plan: BatchPlan) -> DataFrame:
-    """Latest snapshot per order, as it stood at the cutoff.
+    """Latest snapshot per order, as it stood at the cutoff."""
+    return orders_at_cutoff(*exported_orders(raw, plan), plan)
+
 
-    Times after the cutoff have not happened yet. An order delivered after it was
+def latest_orders(latest: DataFrame, plan: BatchPlan) -> DataFrame:
+    """The same from rows that are the latest per order already."""
+    return orders_at_cutoff(*_typed_orders(latest), plan)
+
+
+def orders_at_cutoff(
+    typed: DataFrame, failed: list[tuple[str, Column]], plan: BatchPlan
+) -> DataFrame:
+    """Times after the cutoff have not happened yet. An order delivered after it was
     therefore shipped, if the carrier had it by then, else approved or created.
     """
-    typed, failed = exported_orders(raw, plan)
     happened = {
         c: F.when(~plan.after_cutoff(F.col(c)), F.col(c))
         for c in ORDER_TIMES[1:4]  # an estimate may lie in the future
@@ -335,16 +369,22 @@ def order_payments(raw: DataFrame) -> DataFrame:
     return conform(typed.withColumn("dq_flag", flags), "order_payments")
 
 
+def review_versions(raw: DataFrame) -> DataFrame:
+    """Exports of any batches, of which the latest per review and order count."""
+    return _trimmed(
+        raw, ["review_id", "order_id", "review_comment_title", "review_comment_message"]
+    )
+
+
 def exported_reviews(
     raw: DataFrame, plan: BatchPlan
 ) -> tuple[DataFrame, list[tuple[str, Column]]]:
     """Latest snapshot per review and order as the source has it, and the flags of casts that failed."""
-    named = _trimmed(
-        raw, ["review_id", "order_id", "review_comment_title", "review_comment_message"]
-    )
-    latest = latest_rows(
-        with_batch_seq(named, plan), ["review_id", "order_id"], "batch_seq"
-    )
+    versions = with_batch_seq(review_versions(raw), plan)
+    return _typed_reviews(latest_rows(versions, ["review_id", "order_id"], "batch_seq"))
+
+
+def _typed_reviews(latest: DataFrame) -> tuple[DataFrame, list[tuple[str, Column]]]:
     scored = latest.withColumns(
         {
             "__raw_score": blank_to_null(F.col("review_score")),
@@ -365,7 +405,17 @@ def order_reviews(
     plan: BatchPlan,
 ) -> DataFrame:
     """Latest snapshot per review and order; answers after the cutoff are blank."""
-    typed, failed = exported_reviews(raw, plan)
+    return reviews_at_cutoff(*exported_reviews(raw, plan), silver_orders, plan)
+
+
+def latest_reviews(latest: DataFrame, silver_orders: DataFrame, plan: BatchPlan) -> DataFrame:
+    """The same from rows that are the latest per review and order already."""
+    return reviews_at_cutoff(*_typed_reviews(latest), silver_orders, plan)
+
+
+def reviews_at_cutoff(
+    typed: DataFrame, failed: list[tuple[str, Column]], silver_orders: DataFrame, plan: BatchPlan
+) -> DataFrame:
     answered = F.col("review_answer_timestamp")
     dated = lookup_join(typed, _purchase_dates(silver_orders), ["order_id"], "left")
     flags = flag_list(

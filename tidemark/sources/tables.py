@@ -75,21 +75,6 @@ def overwrite_table_batches(rows: DataFrame, name: str, partition: str = BATCH)
         spark.conf.set(mode, before)
 
 
-def publish(rows: DataFrame, path: str) -> None:
-    """Full refresh of a silver or gold table: written aside, then put in the old one's place.
-
-    A job that fails leaves the table as it was.
-    """
-    staged = f"{path.rstrip('/')}.next"
-    rows.write.mode("overwrite").parquet(staged)
-    spark = rows.sparkSession
-    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(target, True)
-    if not files.rename(source, target):
-        raise OSError(f"{staged} could not be moved to {path}")
-
-
 def batch_load_summary(
     table: DataFrame, present: str | None = None, batch_id: str | None = None
 ) -> DataFrame:

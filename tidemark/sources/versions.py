@@ -119,6 +119,10 @@ class Layer:
             return self.spark.createDataFrame([], shape)
         return self.spark.read.schema(shape).parquet(*[f"{self.path}/{x}" for x in folders.values()])
 
+    def names(self, folder: str) -> list[str]:
+        """What is in a folder of the layer."""
+        return self._store.names(f"{self.path}/{folder}")
+
     def draft(self) -> Draft:
         return Draft(self)
 
