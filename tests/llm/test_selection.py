@@ -121,11 +121,13 @@ def audited_by_hand(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("slice_terms, held, cells", [(1 << 14, 200_000, 1 << 12), (3, 5, 4)])
-def test_audited(spark, monkeypatch, slice_terms, held, cells):
+@pytest.mark.parametrize("slice_terms, held, cells, waiting", [(1 << 14, 1 << 22, 1 << 12, 1 << 20), (3, 5, 4, 2)])
+def test_audited(spark, monkeypatch, slice_terms, held, cells, waiting):
     monkeypatch.setattr(divergence, "SLICE_TERMS", slice_terms)
-    monkeypatch.setattr(divergence, "HELD_TERMS", held)
+    monkeypatch.setattr(divergence, "HELD_COUNTS", held)
     monkeypatch.setattr(divergence, "BLOCK_CELLS", cells)
+    monkeypatch.setattr(divergence, "WAITING_ROWS", waiting)
+    monkeypatch.setattr(divergence, "SLICE_DOCUMENTS", 9 if held == 5 else 1 << 12)
     rows = awkward_rows()
     got = divergence.audited(documents(spark, rows).repartition(5))
     assert dict(got.dtypes)["value"] == "bigint" and dict(got.dtypes)["rank"] == "int"

@@ -1,8 +1,10 @@
 """Which sources of a language differ, and by which terms: counts by a translate table, compared group by group.
 
 One ``bytes.translate`` lowers A-Z and blanks every separator, ``bytes.split`` gives the terms and a Counter
-for each document their frequencies. A task adds documents up by (lang, source) and hands on one row for
-each term it holds, so frequent terms are small before they are shuffled.
+for each document their frequencies. A task numbers the terms it meets and adds documents up by group and
+term, in arrays; what it holds goes on as blocks, one for each slice of the terms' hashes. A slice's blocks
+meet in one task, where they are added up; since all groups' counts of a term lie there, rare terms end
+there too.
 
 A language keeps the terms of at least ``LEAST_DOCUMENTS`` of its documents. Each group and each language
 gives a kept term the share ``p`` (in ``SCALE`` parts, one count added); two groups differ in a term by
@@ -19,7 +21,10 @@ empty table gives no rows. Columns besides ``text``, ``lang`` and ``source`` pla
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,54 +38,136 @@ from tidemark.llm.resampling import word_blocks
 LEAST_DOCUMENTS = 10
 SCALE = 1_000_000_000
 TERM_RANKS = 10
-#: Terms that a task counts before it hands them on.
-HELD_TERMS = 200_000
-#: Kept terms of a slice, about, and cells that are compared at once.
+#: Counts (of a document's term, 16 bytes) and distinct terms that a task holds before it hands them on.
+HELD_COUNTS = 1 << 22
+HELD_TERMS = 1 << 19
+#: Slices that terms are counted in: one for each so many documents, and at least so many.
+SLICE_DOCUMENTS = 1 << 12
+LEAST_SLICES = 64
+#: Rows of a slice that wait until they are added up.
+WAITING_ROWS = 1 << 20
+#: Kept terms of a slice of pairs, about, and cells that are compared at once.
 SLICE_TERMS = 1 << 14
 BLOCK_CELLS = 1 << 12
 
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 0x20 for b in range(256))
+#: Bits of a code that number the term; those above number the group.
+_TERM_BITS = 40
 
-_COUNTS = "lang string, source string, term string, n long, docs long"
 
+class _Held:
+    """Counts of a task's documents by group and term."""
 
-def term_counts(documents: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences and documents of each term; each group also has a row without a term."""
+    def __init__(self) -> None:
+        self.terms: defaultdict[bytes, int] = defaultdict()
+        self.terms.default_factory = self.terms.__len__  # a new term gets the next number
+        self.groups: dict[tuple[str, str], int] = {}
+        self.codes: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.size = 0
 
-    def rows(group: tuple[str, str], n: Counter, docs: Counter) -> pa.RecordBatch:
-        terms = [None, *docs]
-        lang, source = ([x] * len(terms) for x in group)
-        return table({
-            "lang": (lang, pa.string()),
-            "source": (source, pa.string()),
-            "term": ([t and t.decode() for t in terms], pa.string()),
-            "n": ([0, *map(n.__getitem__, docs)], pa.int64()),
-            "docs": ([0, *docs.values()], pa.int64()),
-        })
+    def add(self, group: tuple[str, str], own: Counter) -> None:
+        ids = np.fromiter(map(self.terms.__getitem__, own), np.int64, len(own))
+        self.codes.append(ids | self.groups.setdefault(group, len(self.groups)) << _TERM_BITS)
+        self.counts.append(np.fromiter(own.values(), np.int64, len(own)))
+        self.size += len(own)
 
+    def full(self) -> bool:
+        return self.size > HELD_COUNTS or len(self.terms) > HELD_TERMS
+
+    def blocks(self, slices: int) -> Iterator[tuple[int, bytes]]:
+        if not self.size:
+            return
+        codes = np.concatenate(self.codes)
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        starts = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        counts = np.add.reduceat(np.concatenate(self.counts)[order], starts)
+        documents = np.diff(np.append(starts, len(codes)))
+        terms = codes[starts] & ((1 << _TERM_BITS) - 1)
+        groups = codes[starts] >> _TERM_BITS
+        places = np.fromiter(map(crc32, self.terms), np.int64, len(self.terms))[terms] % slices
+        order = np.argsort(places, kind="stable")
+        names = pa.array(list(self.terms), pa.large_binary()).cast(pa.large_string())
+        langs, sources = (pa.array([g[i] for g in self.groups], pa.string()) for i in (0, 1))
+        own = pa.array(groups[order])
+        columns = [langs.take(own), sources.take(own), names.take(pa.array(terms[order])), pa.array(counts[order]), pa.array(documents[order])]
+        whole = pa.RecordBatch.from_arrays(columns, schema=_BLOCK)
+        places = places[order]
+        cuts = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+        for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(places)]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, _BLOCK) as writer:
+                writer.write_batch(whole.slice(begin, end - begin))
+            yield int(places[begin]), sink.getvalue().to_pybytes()
+
+
+_BLOCK = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.large_string()), ("n", pa.int64()), ("docs", pa.int64())])
+_CELLS = "lang string, source string, term string, n long, n_lang long, first boolean"
+
+
+def _counted(slices: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
-        size = 0
+        def out(held: _Held) -> Iterator[pa.RecordBatch]:
+            for number, block in held.blocks(slices):
+                yield table({"slice": ([number], pa.int32()), "block": ([block], pa.binary())})
+
+        held = _Held()
         for batch in portions(batches):
             keys = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
             for group, text in zip(keys, as_bytes(batch.column("text"))):
                 own: Counter = Counter()
-                n, docs = held[group]
                 for words in word_blocks(text, _TABLE):
                     own.update(words)
-                    n.update(words)
-                before = len(docs)
-                docs.update(own.keys())
-                size += len(docs) - before
-                if size > HELD_TERMS:
-                    yield from (rows(group, *counts) for group, counts in held.items())
-                    held.clear()
-                    size = 0
-        yield from (rows(group, *counts) for group, counts in held.items())
-
-    texts = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counted = map_arrow(texts, run, _COUNTS)
-    return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+                held.add(group, own)
+                if held.full():
+                    yield from out(held)
+                    held = _Held()
+        yield from out(held)
+
+    return run
+
+
+def _added(rows: pa.Table, keys: list[str]) -> pa.Table:
+    sums = rows.group_by(keys, use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return sums.rename_columns({"n_sum": "n", "docs_sum": "docs"})
+
+
+def _kept_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells of kept terms, slice by slice (rows come sorted by slice)."""
+
+    def rows() -> Iterator[tuple[int, bytes]]:
+        for batch in batches:
+            yield from zip(batch.column("slice").to_pylist(), batch.column("block").to_pylist())
+
+    group = ["lang", "source", "term"]
+    for _, own in groupby(rows(), itemgetter(0)):
+        waiting, n_waiting, sums = [], 0, None
+        for _, block in own:
+            waiting.append(pa.ipc.open_stream(block).read_all())
+            n_waiting += waiting[-1].num_rows
+            if n_waiting > WAITING_ROWS + (sums.num_rows if sums else 0):
+                sums = _added(pa.concat_tables([*([sums] if sums else []), *waiting]).select(_BLOCK.names), group).select(_BLOCK.names)
+                waiting, n_waiting = [], 0
+        sums = _added(pa.concat_tables([*([sums] if sums else []), *waiting]).select(_BLOCK.names), group)
+        terms = _added(sums, ["lang", "term"])
+        terms = terms.filter(pc.greater_equal(terms["docs"], LEAST_DOCUMENTS)).rename_columns({"n": "n_lang"}).drop_columns("docs")
+        cells = sums.join(terms, ["lang", "term"], join_type="inner", use_threads=False).sort_by([("lang", "ascending"), ("term", "ascending")])
+        if not cells.num_rows:
+            continue
+        cells = cells.combine_chunks()
+        changed = [pc.not_equal(cells[c].combine_chunks()[1:], cells[c].combine_chunks()[:-1]).to_numpy(zero_copy_only=False) for c in ("lang", "term")]
+        first = pa.array(np.append(True, changed[0] | changed[1]))
+        columns = [cells[c] for c in ("lang", "source")] + [cells["term"].cast(pa.string()), cells["n"], cells["n_lang"], first]
+        yield from pa.table(columns, names=["lang", "source", "term", "n", "n_lang", "first"]).to_batches(max_chunksize=1 << 16)
+
+
+def kept_cells(documents: DataFrame) -> DataFrame:
+    """``lang, source, term, n, n_lang, first``: occurrences of kept terms in groups that have them and in
+    their language; ``first`` marks one row of each language's term."""
+    slices = max(LEAST_SLICES, documents.count() // SLICE_DOCUMENTS)
+    blocks = map_arrow(documents, _counted(slices), "slice int, block binary")
+    return map_arrow(blocks.repartition("slice").sortWithinPartitions("slice"), _kept_cells, _CELLS)
 
 
 def _share(count: str, total: str, kept: str) -> Column:
@@ -101,7 +188,7 @@ def differences(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-_CELLS = "lang string, slice int, kind int, term string, place int, n long, total long"
+_DEALT = "lang string, slice int, kind int, term string, place int, n long, total long"
 _SUMS = "lang string, a int, b int, summed long, n_both long"
 
 
@@ -219,28 +306,23 @@ def _terms(cells: DataFrame) -> DataFrame:
 
 def audited(documents: DataFrame) -> DataFrame:
     """``lang, source, part, item, value, rank``: the pairs of sources, and each source's leading terms."""
-    counts = stored(term_counts(documents))
-    by_term = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"))
-    kept = stored(by_term.where(F.col("docs") >= LEAST_DOCUMENTS).drop("docs"))
-    langs = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n_lang").alias("total_lang"))
-    own = counts.select(F.col("lang").alias("lang_"), "source", F.col("term").alias("term_"), "n").where("term IS NOT NULL")
-    # null-safe equality gives the join shuffles of its own, of which Spark can split a frequent term's
-    cells = own.join(kept, F.col("lang_").eqNullSafe(F.col("lang")) & F.col("term_").eqNullSafe(F.col("term"))).select("lang", "source", "term", "n", "n_lang")
-    held = cells.groupBy("lang", "source").agg(F.count("*").alias("held"), F.sum("n").alias("total"))
-    zero = F.lit(0).cast("long")
+    texts = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    found = stored(kept_cells(texts))
+    held = found.groupBy("lang", "source").agg(F.count("*").alias("held"), F.sum("n").alias("total"), F.count_if("first").alias("firsts"))
+    of_lang, zero = Window.partitionBy("lang"), F.lit(0).cast("long")
     groups = (
-        counts.where("term IS NULL").select("lang", "source")
-        .join(held, ["lang", "source"], "left").join(langs, "lang", "left")
-        .select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("held", "total", "kept", "total_lang")])
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1)
+        texts.select("lang", "source").distinct().join(held, ["lang", "source"], "left")
+        .select("lang", "source", *[F.coalesce(c, zero).alias(c) for c in ("held", "total", "firsts")])
+        .withColumns({"kept": F.sum("firsts").over(of_lang), "total_lang": F.sum("total").over(of_lang)})
+        .withColumn("place", F.row_number().over(of_lang.orderBy("source")) - 1)
         .withColumn("unseen", F.when(F.col("kept") > 0, _share("0", "total", "kept")))
     )
     groups = stored(groups)
     known = groups.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), "place", "total", "kept", "total_lang")
-    cells = cells.join(known, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")))
-    cells = stored(cells.select("lang", "source", "term", "n", "n_lang", "place", "total", "kept", "total_lang"))
+    # null-safe equality gives the join shuffles of its own, of which Spark can split a large group's
+    cells = found.join(known, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")))
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item")))
-    slices = max(1, kept.count() // SLICE_TERMS)
+    slices = max(1, groups.agg(F.sum("firsts")).first()[0] or 0) // SLICE_TERMS + 1
     pairs = _pairs(groups, cells, slices).withColumn("rank", place)
     terms = _terms(cells).withColumn("rank", place).where(F.col("rank") <= TERM_RANKS)
     return pairs.unionByName(terms)
