@@ -41,6 +41,7 @@ HEADLINE = (
 
 def main() -> None:
     from tidemark.catalog.queries import QUERIES
+    from tidemark.catalog.tables import FINISHED, Tables
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -57,11 +58,18 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/region.parquet").count()  # start the engine before timing
 
-    seconds = {}
+    # tables that several queries read are written first, as in a batch run, and timed apart
+    inputs, seconds = {}, {}
+    tables = Tables(spark, sf_dir)
+    for name in FINISHED:
+        started = time.perf_counter()
+        tables[name]
+        inputs[name] = round(time.perf_counter() - started, 3)
     for name in HEADLINE:
         started = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    seconds["write_finished_tables"] = round(sum(inputs.values()), 3)
     print(
         json.dumps(
             {
@@ -69,6 +77,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "finished_tables": inputs,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
                 "spark": spark.version,

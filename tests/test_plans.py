@@ -334,7 +334,7 @@ def write_raw(root, batch, source, name, text):
 
 
 def write_csv(root, batch, table, rows):
-    header = ",".join(contract.RAW_CSV_COLUMNS[table].split())
+    header = ",".join(contract.RAW_CSV_COLUMNS[table])
     body = "\n".join(",".join(row) for row in rows)
     write_raw(root, batch, "csv", f"{table}.csv", f"﻿{header}\n{body}\n")
 

@@ -172,6 +172,8 @@ def deal_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Leads that are there; the deals of the others are orphans.
+HAS_LEAD = "CAST(mql_id AS BIGINT) % 101 <> 0"
 FIRST_DEAL = ("won_date", "sr_id", "sdr_id", "seller_id")
 
 
@@ -275,10 +277,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 ITEM_PRICE = "CASE WHEN product % 40 = 0 THEN '0' ELSE CAST(price AS STRING) END"
 
 
-def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One item per order and line number; line numbers repeat in the table."""
     price = F.col("l_extendedprice").cast("decimal(10,2)")
-    items = (
+    return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
@@ -291,7 +293,10 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("freight"),
         )
     )
-    return in_scope(items, "limit", BATCHES).select(
+
+
+def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return in_scope(item_totals(spark, sf_dir), "limit", BATCHES).select(
         F.expr("CAST(l_orderkey AS STRING)").alias("order_id"),
         F.expr("CAST(l_linenumber AS STRING)").alias("order_item_id"),
         F.expr("CAST(product AS STRING)").alias("product_id"),
@@ -342,12 +347,15 @@ REVIEW_ANSWER = (
 )
 
 
+def reviewed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    created = F.col("l_shipdate") + F.expr(f"interval {REVIEW_DELAY_DAYS} days")
+    return table(spark, sf_dir, "lineitem").withColumn("created", created)
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per order line. Some were first exported, unanswered, with the bulk batch."""
     bulk = BATCHES.ids[0]
-    created = F.col("l_shipdate") + F.expr(f"interval {REVIEW_DELAY_DAYS} days")
-    lines = table(spark, sf_dir, "lineitem").withColumn("created", created)
-    routed = in_scope(lines, "created", BATCHES)
+    routed = in_scope(reviewed_lines(spark, sf_dir), "created", BATCHES)
     early = (F.col("l_suppkey") % 10 == 0) & (F.col("batch_id") != bulk)
     version = F.explode(F.sequence(F.when(early, 0).otherwise(1), F.lit(1)))
     final = F.col("version") == 1
@@ -364,6 +372,24 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Reviews as the text of a CSV file: line breaks, quotes and commas in the comment, a share spoiled.
+CSV_CELLS = ("review_id", "order_id", "review_comment_message")
+CSV_MESSAGE = "'said \"' || order_id || '\",' || chr(10) || 'on ' || chr(10) || review_id"
+QUOTED = "'\"' || replace({}, '\"', '\"\"') || '\"'"
+CSV_SPOILED = "CASE WHEN CAST(order_id AS BIGINT) % 97 = 0 THEN 'long' WHEN CAST(order_id AS BIGINT) % 89 = 0 THEN 'short' ELSE 'good' END"
+CSV_RECORD = (
+    f"{QUOTED.format('review_id')} || ',' || {QUOTED.format('order_id')}"
+    f" || CASE WHEN spoiled = 'short' THEN '' ELSE ',' || {QUOTED.format('review_comment_message')} END"
+    " || CASE WHEN spoiled = 'long' THEN ',more' ELSE '' END"
+)
+
+
+def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``record, batch_id``: the reviews as CSV text."""
+    said = raw_reviews(spark, sf_dir).withColumn("review_comment_message", F.expr(CSV_MESSAGE))
+    return said.withColumn("spoiled", F.expr(CSV_SPOILED)).select(F.expr(CSV_RECORD).alias("record"), "batch_id")
+
+
 # --- reference data ------------------------------------------------------------------------
 
 CATEGORY = "CASE WHEN p_partkey % 50 = 0 THEN CAST(NULL AS STRING) ELSE lower(p_type) END"

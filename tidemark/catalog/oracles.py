@@ -70,6 +70,59 @@ def cast_oracle(expression: str, value: str) -> str:
       FROM (SELECT o_orderkey, {expression} AS raw FROM orders)"""
 
 
+def ledger_part(table: str, keys: str, role: int, rows: str) -> str:
+    """The keys of one set, as text."""
+    parts = [f"CAST({k.strip()} AS VARCHAR)" for k in keys.split(";") if k]
+    key = " || '|' || ".join(parts) or "CAST(NULL AS VARCHAR)"
+    return f"SELECT '{table}' AS table_name, {key} AS key, {role} AS role FROM {rows}"
+
+
+CORRECTED_PAYMENTS = f"""
+  SELECT * EXCLUDE (payment_type),
+    CASE WHEN batch_id = '{FINAL}' THEN 'corrected' ELSE payment_type END AS payment_type
+  FROM raw_payments"""
+AFTER = f"> TIMESTAMP '{CUTOFF}'"
+ITEMS = "(SELECT l_orderkey, l_linenumber, max(l_shipdate) AS l_limit FROM lineitem GROUP BY 1, 2)"
+REVIEWED = f"(SELECT *, l_shipdate + INTERVAL {i.REVIEW_DELAY_DAYS} DAY AS created FROM lineitem)"
+FIRST_DEALS = f"""(SELECT * FROM (SELECT CAST(l_orderkey AS VARCHAR) AS mql_id, {', '.join(f'{i.DEAL_TEXT[c]} AS {c}' for c in i.FIRST_DEAL)} FROM lineitem)
+  QUALIFY row_number() OVER (PARTITION BY mql_id ORDER BY {', '.join(i.FIRST_DEAL)}) = 1)"""
+# Table, key, set and rows of the raw verification; a key's parts are parted by semicolons.
+LEDGER_SETS = (
+    ("orders", "o_orderkey", 1, "orders"),
+    ("orders", "trim(order_id)", 2, "raw_orders"),
+    ("orders", "o_orderkey", 4, f"orders WHERE o_orderdate {AFTER}"),
+    ("orders_parent", "o_custkey", 4, f"orders WHERE o_orderdate {AFTER}"),
+    ("orders_parent", "c_custkey", 8, "customer"),
+    ("order_items", "l_orderkey; l_linenumber", 1, "lineitem"),
+    ("order_items", "order_id; order_item_id", 2, "raw_items"),
+    ("order_items", "l_orderkey; l_linenumber", 4, f"{ITEMS} WHERE l_limit {AFTER}"),
+    ("order_payments", "l_orderkey; l_linenumber", 1, "lineitem"),
+    ("order_payments", "order_id; payment_sequential", 2, "raw_payments"),
+    ("order_payments", "l_orderkey; l_linenumber", 4, f"lineitem WHERE l_shipdate {AFTER}"),
+    ("order_reviews", f"{i.REVIEW_ID}; l_orderkey", 1, REVIEWED),
+    ("order_reviews", "review_id; order_id", 2, "raw_reviews"),
+    ("order_reviews", f"{i.REVIEW_ID}; l_orderkey", 4, f"{REVIEWED} WHERE created {AFTER}"),
+    ("customers", "c_custkey", 1, "customer"),
+    ("customers", "c_custkey", 2, f"(SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer WHERE {i.REEXPORTED.format('c_custkey')})"),
+    ("products", "p_partkey", 1, "part"),
+    ("products", "p_partkey", 2, f"(SELECT p_partkey FROM part UNION ALL SELECT p_partkey FROM part WHERE {i.REEXPORTED.format('p_partkey')})"),
+    ("sellers", "s_suppkey", 1, "supplier"),
+    ("sellers", "s_suppkey", 2, f"(SELECT s_suppkey FROM supplier UNION ALL SELECT s_suppkey FROM supplier WHERE {i.REEXPORTED.format('s_suppkey')})"),
+    ("product_category_translation", "product_category_name", 1, "silver_translation"),
+    ("product_category_translation", "product_category_name", 2, "silver_translation"),
+    ("geolocation", "", 2, "customer"),
+    ("marketing_leads", "o_orderkey", 1, "orders"),
+    ("marketing_leads", "mql_id", 2, "replayed_leads"),
+    ("marketing_deals", "mql_id", 1, FIRST_DEALS),
+    ("marketing_deals", "mql_id", 2, "replayed_leads WHERE has_deal"),
+    ("marketing_deals", "mql_id", 4, f"{FIRST_DEALS} WHERE CAST(won_date AS TIMESTAMP) {AFTER}"),
+    ("marketing_deals", "o_orderkey", 8, "orders"),
+    ("clickstream", "raw_line", 1, "web_lines"),
+    ("clickstream", "raw_line", 2, "web_lines WHERE batch_id IS NOT NULL"),
+    ("clickstream", "raw_line", 4, "web_lines WHERE batch_id IS NULL"),
+)
+
+
 def values(rows, names: str) -> str:
     def literal(v):
         return "NULL" if v is None else str(v) if isinstance(v, int) else f"'{v}'"
@@ -197,7 +250,7 @@ FACT_SUMS = {
 }
 
 
-def additivity(left: str, right: str, components: str) -> str:
+def additivity(left: str, right: str, components: tuple[str, ...]) -> str:
     def total(table: str, component: str) -> str:
         total_sql = FACT_SUMS.get(table, {}).get(component, f"sum({component})")
         return f"(SELECT CAST(coalesce({total_sql}, 0) AS DECIMAL(38,2)) FROM {table})"
@@ -205,7 +258,7 @@ def additivity(left: str, right: str, components: str) -> str:
     return union(
         f"SELECT '{left} vs {right}' AS check_name, '{c}' AS component, "
         f"{total(left, c)} AS left_total, {total(right, c)} AS right_total"
-        for c in components.split()
+        for c in components
     )
 
 
@@ -310,10 +363,44 @@ def _bodies() -> dict[str, str]:
         "nest_to_json": f"SELECT {RAW_JSON} AS raw_json, batch_id FROM replayed_leads",
         "csv_roundtrip": "SELECT * FROM raw_orders",
         "audit_columns": "SELECT * FROM raw_payments",
-        "partition_overwrite": f"""
-          SELECT * EXCLUDE (payment_type),
-            CASE WHEN batch_id = '{FINAL}' THEN 'corrected' ELSE payment_type END AS payment_type
-          FROM raw_payments""",
+        "partition_overwrite": CORRECTED_PAYMENTS,
+        "catalog_overwrite": CORRECTED_PAYMENTS,
+        "versioned_publish": CORRECTED_PAYMENTS,
+        "incremental_orders": "SELECT * FROM silver_orders",
+        "routed_leads": f"""
+          WITH deals AS (SELECT *, row_number() OVER (PARTITION BY mql_id ORDER BY {', '.join(i.FIRST_DEAL)}) AS place
+            FROM (SELECT CAST(l_orderkey AS VARCHAR) AS mql_id, {', '.join(f'{i.DEAL_TEXT[c]} AS {c}' for c in i.FIRST_DEAL)} FROM lineitem))
+          SELECT batch_id AS route, mql_id, CASE WHEN has_deal THEN d_sr_id END AS sr_id, CASE WHEN has_deal THEN d_won_date END AS won_date
+          FROM replayed_leads WHERE {i.HAS_LEAD}
+          UNION ALL SELECT * FROM (
+            SELECT CASE WHEN place > 1 THEN '_repeated' WHEN NOT {i.HAS_LEAD} THEN '_orphans'
+              WHEN CAST(won_date AS TIMESTAMP) {AFTER} THEN '_excluded' END AS route, mql_id, sr_id, won_date FROM deals)
+          WHERE route IS NOT NULL""",
+        "csv_records": f"""
+          WITH said AS (SELECT review_id, order_id, batch_id, {i.CSV_MESSAGE} AS review_comment_message FROM raw_reviews),
+            judged AS (SELECT *, {i.CSV_SPOILED} AS spoiled FROM said)
+          SELECT {', '.join(f"CASE WHEN spoiled = 'good' THEN {c} END AS {c}" for c in i.CSV_CELLS)}, spoiled = 'good' AS is_parsed,
+            CASE WHEN spoiled <> 'good' THEN {i.CSV_RECORD} END AS raw_record, batch_id, 'reviews.csv' AS source_file
+          FROM judged""",
+        "raw_verification": f"""
+          WITH sets AS ({union(ledger_part(*x) for x in LEDGER_SETS)}),
+            keyed AS (SELECT table_name, key, bool_or(role = 1) AS raw, bool_or(role = 2) AS scoped, bool_or(role = 4) AS excluded,
+                bool_or(role = 8) AS parent, count(*) FILTER (role = 2) AS n_scoped, count(*) FILTER (role = 4) AS n_out
+              FROM sets GROUP BY table_name, key),
+            totals AS (SELECT table_name, CAST(sum(n_scoped) AS BIGINT) AS n_rows,
+                CAST(sum(CASE WHEN key IS NULL THEN n_scoped WHEN scoped THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct,
+                CAST(sum(n_out) AS BIGINT) AS n_excluded,
+                count(*) FILTER (key IS NOT NULL AND raw AND NOT scoped AND NOT excluded) AS n_unaccounted,
+                count(*) FILTER (key IS NOT NULL AND NOT raw AND (scoped OR excluded)) AS n_unknown,
+                count(*) FILTER (key IS NOT NULL AND excluded AND NOT parent) AS n_without_parent
+              FROM keyed GROUP BY table_name),
+            published AS (SELECT * FROM {values([(t, sum(c), k, x) for t, c, k, x in seeds.RAW_ROW_COUNTS] + [seeds.PUBLISHED_DEALS], 'table_name, expected_rows, expected_distinct, expected_excluded')})
+          SELECT table_name, n_rows, n_distinct, n_excluded, n_unaccounted, n_unknown, n_without_parent,
+            CAST(expected_rows AS BIGINT) AS expected_rows, CAST(expected_distinct AS BIGINT) AS expected_distinct,
+            CAST(expected_excluded AS BIGINT) AS expected_excluded,
+            n_rows IS NOT DISTINCT FROM expected_rows AND n_distinct IS NOT DISTINCT FROM expected_distinct
+              AND n_excluded IS NOT DISTINCT FROM expected_excluded AS matches
+          FROM totals FULL JOIN published USING (table_name)""",
         "batch_load_summary": """
           SELECT batch_id, count(*) AS n_rows, count(*) FILTER (WHERE has_deal) AS n_present,
             count(*) FILTER (WHERE NOT is_parsed) AS n_unparsed
@@ -331,6 +418,11 @@ def _bodies() -> dict[str, str]:
           SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
           WHERE l_shipdate > TIMESTAMP '{CUTOFF}'""",
         "kpi_unpivot_long": union(metrics_of(t) for t in KPI_TABLES),
+        "metrics_roundtrip": union(metrics_of(t) for t in KPI_TABLES),
+        "kpi_second_route": union(metrics_of(t) for t in KPI_TABLES),
+        "kpi_compare_all": f"""
+          SELECT table_name, count(*) AS n_metrics, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra,
+            CAST(0 AS BIGINT) AS n_different FROM ({union(metrics_of(t) for t in KPI_TABLES)}) GROUP BY 1""",
         "upsert_latest": """
           SELECT run_id, batch_id, CASE WHEN rows_in % 70 = 0 THEN 'success' ELSE status END AS status,
             failed_model, rows_in, rows_out, started_at,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,15 @@ from tidemark.catalog.tables import Tables
 from tidemark.functions import calendar, casting, flags, text
 from tidemark.operators import batches as batch_ops
 from tidemark.operators import checks, compare, latest, sets
+from tidemark.operators import key_ledger as ledger_of
 from tidemark.operators.skew import lookup_join
-from tidemark.plans import anomalies, gold, seeds, silver
+from tidemark.plans import anomalies, gold, second_route, seeds, silver
 from tidemark.plans.contract import GOLD_COLUMNS, GOLD_KEYS, KPI_TABLES, columns_of
-from tidemark.sources import ledger, raw_csv, raw_leads, raw_logs, tables
+from tidemark.sources import ledger, raw_csv, raw_leads, raw_logs, routed, tables
+from tidemark.sources.csv_records import read_csv_records
 from tidemark.sources.scratch import scratch_path
+from tidemark.sources.state import KeyedState, Shape
+from tidemark.sources.versions import Layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +94,105 @@ def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query
+def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments in a catalog table: created, filled, and its last batch overwritten."""
+    payments = inputs.raw_payments(spark, sf_dir)
+    name = f"tidemark_checks.payments_{uuid.uuid4().hex}"
+    columns = ", ".join(f"{c} string" for c in payments.columns)
+    tables.create_table(spark, name, columns)
+    tables.create_table(spark, name, columns)  # it is there: nothing happens
+    tables.overwrite_table_batches(payments, name)
+    last = payments.filter(F.col("batch_id") == BATCHES.final_batch)
+    tables.overwrite_table_batches(last.withColumn("payment_type", F.lit("corrected")), name)
+    return spark.table(name)
+
+
+@query
+def metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of all KPI tables, written as a sorted file and read from it."""
+    path = scratch_path(spark, "metrics")
+    compare.write_metrics(kpi_unpivot_long(spark, sf_dir), path)
+    return compare.read_metrics(spark, path)
+
+
+@query
+def versioned_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments published by batch, wrong ones taken back, a draft never shown, the last batch corrected."""
+    payments = inputs.raw_payments(spark, sf_dir)
+    layer = Layer(spark, scratch_path(spark, "layer"))
+    every, last = range(len(BATCHES.ids)), len(BATCHES.ids) - 1
+    part = BATCHES.position_of(F.col("batch_id"))
+    wrong = payments.withColumn("payment_type", F.lit("wrong")).withColumn("part", part)
+    first = layer.draft()
+    first.write_parts("payments", payments.withColumn("part", part), every)
+    first.commit()
+    bad = layer.draft()
+    bad.write_parts("payments", wrong.where(part == 0), [0])
+    bad.commit()
+    layer.roll_back(1)
+    layer.draft().write_parts("payments", wrong, every)
+    corrected = layer.read("payments").withColumns({"payment_type": F.lit("corrected"), "part": part})
+    draft = layer.draft()
+    draft.write_parts("payments", corrected.where(part == last), [last])
+    draft.commit()
+    layer.prune()
+    return layer.read("payments")
+
+
+@query
+def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders from a state that took in one batch after the other, and the second one again."""
+    bronze = Tables(spark, sf_dir)["bronze_orders"]
+    layer = Layer(spark, scratch_path(spark, "state"))
+    state = KeyedState(layer, Shape("orders", ("order_id",)), BATCHES)
+    of = lambda *batch: silver.order_versions(bronze.where(F.col("batch_id").isin(*batch)))
+    for batch in (*BATCHES.ids, BATCHES.ids[1]):
+        draft = layer.draft()
+        state.load(draft, batch, of(batch), lambda others: of(*others))
+        draft.commit()
+    return silver.latest_orders(state.current(layer.draft()), BATCHES)
+
+
+@query
+def routed_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leads by batch and the deals that belong to none, written in one pass and read back from their folders."""
+    parents = inputs.lead_parents(spark, sf_dir).where(F.expr(inputs.HAS_LEAD))
+    nested, apart = routed.route_family(
+        parents, inputs.deal_children(spark, sf_dir), "mql_id", "first_contact_date", "won_date", "deal",
+        inputs.FIRST_DEAL, BATCHES,
+    )
+    deal = F.struct(*[c for c in apart.columns if c != "route"])
+    records = raw_leads.to_json_lines(nested).select(F.col("batch_id").alias("route"), F.col("raw_json").alias("value"))
+    records = records.unionByName(apart.select("route", F.to_json(deal).alias("value")))
+    root = scratch_path(spark, "routed")
+    routed.write_routed(records, root, "leads.jsonl")
+    if routed.differing_routes(spark, root, "leads.jsonl"):
+        raise ValueError("the files are not those of the manifest")
+    shape = "mql_id string, sr_id string, won_date string, deal struct<sr_id:string, won_date:string>"
+    read = routed.read_routed(spark, root, "leads.jsonl").withColumn("r", F.from_json("value", shape))
+    return read.select(
+        "route",
+        "r.mql_id",
+        F.coalesce("r.deal.sr_id", "r.sr_id").alias("sr_id"),
+        F.coalesce("r.deal.won_date", "r.won_date").alias("won_date"),
+    )
+
+
+@query
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews as CSV text with line breaks in cells and bad records, read back from any split of the files."""
+    columns = list(inputs.CSV_CELLS)
+    root = scratch_path(spark, "csv")
+    record, header = F.col("record"), ",".join(columns)
+    # each file begins with the header: the first row of a task brings it along
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    for batch_id in BATCHES.ids:
+        rows = inputs.review_records(spark, sf_dir).where(F.col("batch_id") == batch_id)
+        rows.select(F.when(first, F.concat(F.lit(f"{header}\n"), record)).otherwise(record).alias("value")).write.text(f"{root}/{batch_id}/reviews.csv")
+    return read_csv_records(spark, root, BATCHES.ids, "reviews.csv", columns)
+
+
 @query
 def batch_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = Tables(spark, sf_dir)["bronze_leads"]
@@ -845,6 +949,61 @@ def batch_row_counts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.batch_row_counts(actual, seeds.expected_row_counts(spark, BATCHES))
 
 
+@query
+def raw_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, keys and excluded rows of each raw table and what breaks a rule, beside the published figures."""
+    read = lambda name: table(spark, sf_dir, name)
+    quarantined = lambda rows, at: batch_ops.quarantined(rows, at, BATCHES)
+    lines, orders, items = read("lineitem"), read("orders"), inputs.item_totals(spark, sf_dir)
+    reviewed = inputs.reviewed_lines(spark, sf_dir)
+    leads = inputs.replayed_leads(spark, sf_dir)
+    first_deal = latest.first_per_key(
+        inputs.deal_children(spark, sf_dir), ["mql_id"], [F.asc(c) for c in inputs.FIRST_DEAL]
+    )
+    known_leads = read("orders").select(F.expr("CAST(o_orderkey AS STRING)").alias("mql_id"))
+    web = inputs.web_lines(spark, sf_dir)
+    line_key = ["l_orderkey", "l_linenumber"]
+    review_key = [F.expr(inputs.REVIEW_ID), "l_orderkey"]
+    order_key = [F.trim("order_id")]
+    parents = {"orders": ("o_custkey", "c_custkey", "customer")}
+    sets = [
+        ("orders", orders, ["o_orderkey"], ledger_of.RAW),
+        ("orders", inputs.raw_orders(spark, sf_dir), order_key, ledger_of.IN_SCOPE),
+        ("orders", quarantined(orders, "o_orderdate"), ["o_orderkey"], ledger_of.EXCLUDED),
+        ("orders_parent", quarantined(orders, "o_orderdate"), [parents["orders"][0]], ledger_of.EXCLUDED),
+        ("orders_parent", read(parents["orders"][2]), [parents["orders"][1]], ledger_of.PARENT),
+        ("order_items", lines, line_key, ledger_of.RAW),
+        ("order_items", inputs.raw_items(spark, sf_dir), ["order_id", "order_item_id"], ledger_of.IN_SCOPE),
+        ("order_items", quarantined(items, "limit"), line_key, ledger_of.EXCLUDED),
+        ("order_payments", lines, line_key, ledger_of.RAW),
+        ("order_payments", inputs.raw_payments(spark, sf_dir), ["order_id", "payment_sequential"], ledger_of.IN_SCOPE),
+        ("order_payments", quarantined(lines, "l_shipdate"), line_key, ledger_of.EXCLUDED),
+        ("order_reviews", reviewed, review_key, ledger_of.RAW),
+        ("order_reviews", inputs.raw_reviews(spark, sf_dir), ["review_id", "order_id"], ledger_of.IN_SCOPE),
+        ("order_reviews", quarantined(reviewed, "created"), review_key, ledger_of.EXCLUDED),
+        ("customers", read("customer"), ["c_custkey"], ledger_of.RAW),
+        ("customers", inputs.raw_customers(spark, sf_dir), ["customer_id"], ledger_of.IN_SCOPE),
+        ("products", read("part"), ["p_partkey"], ledger_of.RAW),
+        ("products", inputs.raw_products(spark, sf_dir), ["product_id"], ledger_of.IN_SCOPE),
+        ("sellers", read("supplier"), ["s_suppkey"], ledger_of.RAW),
+        ("sellers", inputs.raw_sellers(spark, sf_dir), ["seller_id"], ledger_of.IN_SCOPE),
+        ("product_category_translation", inputs.raw_translation(spark, sf_dir), ["product_category_name"], ledger_of.RAW),
+        ("product_category_translation", inputs.raw_translation(spark, sf_dir), ["product_category_name"], ledger_of.IN_SCOPE),
+        ("geolocation", inputs.raw_points(spark, sf_dir), [], ledger_of.IN_SCOPE),
+        ("marketing_leads", known_leads, ["mql_id"], ledger_of.RAW),
+        ("marketing_leads", leads, ["mql_id"], ledger_of.IN_SCOPE),
+        ("marketing_deals", first_deal, ["mql_id"], ledger_of.RAW),
+        ("marketing_deals", leads.where("deal IS NOT NULL"), ["mql_id"], ledger_of.IN_SCOPE),
+        ("marketing_deals", quarantined(first_deal, "won_date"), ["mql_id"], ledger_of.EXCLUDED),
+        ("marketing_deals", known_leads, ["mql_id"], ledger_of.PARENT),
+        ("clickstream", web, ["raw_line"], ledger_of.RAW),
+        ("clickstream", web.where("batch_id IS NOT NULL"), ["raw_line"], ledger_of.IN_SCOPE),
+        ("clickstream", web.where("batch_id IS NULL"), ["raw_line"], ledger_of.EXCLUDED),
+    ]
+    totals = ledger_of.ledger_totals(ledger_of.key_ledger(ledger_of.key_rows(*one) for one in sets))
+    return ledger_of.beside_published(totals, seeds.published_totals(spark))
+
+
 @query
 def layer_row_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
@@ -890,3 +1049,28 @@ def kpi_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, key in (("kpi_lead_month", "year_month"), ("kpi_lead_origin", "origin"))
     )
     return compare.compare_metrics(expected, actual)
+
+
+def _second_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    orders = second_route.order_components(
+        t["bronze_orders"], t["bronze_order_items"], t["bronze_order_reviews"], inputs.raw_customers(spark, sf_dir), BATCHES
+    )
+    tables_ = second_route.kpi_tables(
+        orders, second_route.lead_components(t["bronze_leads"], BATCHES), second_route.session_components(t["bronze_events"]), BATCHES
+    )
+    return checks.union_all(second_route.metrics(tables_))
+
+
+@query
+def kpi_second_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every metric of all KPI tables, from raw rows without silver or gold."""
+    return _second_route(spark, sf_dir)
+
+
+@query
+def kpi_compare_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All KPI tables against the second route: how many metrics of each were compared, and how many disagree."""
+    t = Tables(spark, sf_dir)
+    actual = checks.union_all(compare.to_metrics(t[name], name, GOLD_KEYS[name]) for name in KPI_TABLES)
+    return compare.agreement(_second_route(spark, sf_dir), actual)

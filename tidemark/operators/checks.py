@@ -317,25 +317,57 @@ def money_totals(silver: Mapping[str, DataFrame], gold: Mapping[str, DataFrame])
     )
 
 
-def _sums(names: str) -> dict[str, Column]:
-    return {name: F.sum(name) for name in names.split()}
+def _sums(names: Sequence[str]) -> dict[str, Column]:
+    return {name: F.sum(name) for name in names}
 
 
-SALES_SUMS = "n_orders_total n_canceled_orders n_valid_orders sum_revenue"
+SALES_SUMS = (
+    "n_orders_total",
+    "n_canceled_orders",
+    "n_valid_orders",
+    "sum_revenue",
+)
 DELIVERY_SUMS = (
-    "n_delivered sum_delivery_days n_late n_on_time n_shipping_measured sum_shipping_days "
-    "n_scored sum_score n_overdue_undelivered"
+    "n_delivered",
+    "sum_delivery_days",
+    "n_late",
+    "n_on_time",
+    "n_shipping_measured",
+    "sum_shipping_days",
+    "n_scored",
+    "sum_score",
+    "n_overdue_undelivered",
+)
+DELIVERY_SHARED = (
+    "n_delivered",
+    "sum_delivery_days",
+    "n_late",
+    "n_scored",
+    "sum_score",
+    "n_overdue_undelivered",
 )
-DELIVERY_SHARED = "n_delivered sum_delivery_days n_late n_scored sum_score n_overdue_undelivered"
 LEAD_SUMS = (
-    "n_leads n_leads_with_deal n_close_time_valid_deals sum_days_to_close n_leads_not_excluded "
-    "n_won_30d"
+    "n_leads",
+    "n_leads_with_deal",
+    "n_close_time_valid_deals",
+    "sum_days_to_close",
+    "n_leads_not_excluded",
+    "n_won_30d",
 )
 FUNNEL_SUMS = (
-    "n_sessions n_purchase_sessions n_cart_sessions n_cart_abandoned_sessions n_sessions_ge2 "
-    "sum_duration_seconds"
+    "n_sessions",
+    "n_purchase_sessions",
+    "n_cart_sessions",
+    "n_cart_abandoned_sessions",
+    "n_sessions_ge2",
+    "sum_duration_seconds",
+)
+FUNNEL_SHARED = (
+    "n_sessions",
+    "n_purchase_sessions",
+    "n_cart_sessions",
+    "sum_duration_seconds",
 )
-FUNNEL_SHARED = "n_sessions n_purchase_sessions n_cart_sessions sum_duration_seconds"
 
 
 def _count_where(condition: Column) -> Column:
@@ -433,7 +465,7 @@ def kpi_additivity(gold: Mapping[str, DataFrame]) -> DataFrame:
         [
             (f"{left} vs {right}", component, table, side)
             for left, right, components in pairs
-            for component in components.split()
+            for component in components
             for table, side in ((left, "left_total"), (right, "right_total"))
         ],
         "check_name string, component string, table_name string, side string",

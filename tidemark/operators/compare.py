@@ -52,8 +52,7 @@ def is_rate(kpi_name: Column) -> Column:
     return rate
 
 
-def compare_metrics(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Metrics that are missing, extra or different; empty when the two sets agree."""
+def _judged(expected: DataFrame, actual: DataFrame) -> DataFrame:
     keys = list(METRIC_KEY)
 
     def side(metrics: DataFrame, name: str) -> DataFrame:
@@ -69,8 +68,16 @@ def compare_metrics(expected: DataFrame, actual: DataFrame) -> DataFrame:
         .when(F.col("__in_expected").isNull(), F.lit("extra"))
         .when(~F.col("expected").eqNullSafe(F.col("actual")), F.lit("different"))
     )
-    return (
-        both.withColumn("problem", problem)
-        .filter(F.col("problem").isNotNull())
-        .select(*keys, "expected", "actual", "problem")
-    )
+    return both.select(*keys, "expected", "actual", problem.alias("problem"))
+
+
+def compare_metrics(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Metrics that are missing, extra or different; empty when the two sets agree."""
+    return _judged(expected, actual).filter(F.col("problem").isNotNull())
+
+
+def agreement(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Per table: how many metrics there are on either side, and how many are missing, extra or different."""
+    kinds = ("missing", "extra", "different")
+    counts = [F.count_if(F.col("problem") == kind).alias(f"n_{kind}") for kind in kinds]
+    return _judged(expected, actual).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_metrics"), *counts)

@@ -30,22 +30,24 @@ from pyspark.sql import functions as F
 from tidemark.functions.flags import has_flag
 from tidemark.operators import checks
 from tidemark.operators.batches import MARKETPLACE_BATCHES, BatchPlan, batch_order_problems
-from tidemark.plans import gold, seeds, silver
+from tidemark.operators.compare import compare_metrics, to_metrics
+from tidemark.plans import gold, second_route, seeds, silver
 from tidemark.plans.contract import (
     GOLD_COLUMNS,
     GOLD_KEYS,
+    KPI_TABLES,
     RAW_CSV_COLUMNS,
     SILVER_COLUMNS,
     contract_problems,
 )
 from tidemark.sources import ledger
-from tidemark.sources.raw_csv import read_batch_csv
+from tidemark.sources.csv_records import PARSED, RECORD, read_csv_lines, read_csv_records
 from tidemark.sources.raw_leads import parse_json_lines
 from tidemark.sources.raw_logs import parse_log_lines, read_lines
 from tidemark.sources.tables import (
     add_audit_columns,
     batch_load_summary,
-    overwrite_batches,
+    overwrite_counted,
     write_manifest,
 )
 from tidemark.sources.state import KeyedState, Shape
@@ -54,6 +56,9 @@ from tidemark.sources.versions import Draft, Layer
 EVENTS, LEADS = "clickstream_events", "marketing_leads"
 LOG_FILE, LEADS_FILE = "access_log.txt", "marketing_leads.jsonl"
 MULTI_LINE_EXPORTS = ("order_reviews",)
+COUNTS_FILE = "batch_row_counts.csv"
+# Fixed value: what the published counts call the events.
+PUBLISHED_NAMES = {"clickstream": EVENTS}
 VERSIONED = ("state", "silver", "gold")
 
 
@@ -138,31 +143,58 @@ def raw_frames(spark: SparkSession, layout: Layout, batch_id: str) -> dict[str,
         return parse_json_lines(read_lines(spark, path, "raw_json"))
 
     def export(name: str) -> Callable[[], DataFrame]:
-        columns = RAW_CSV_COLUMNS[name].split()
-        return lambda: read_batch_csv(
-            spark, f"{layout.root}/raw/csv", [batch_id], f"{name}.csv", columns,
-            multi_line=name in MULTI_LINE_EXPORTS,
-        ).select(*columns)
+        columns, root, file = RAW_CSV_COLUMNS[name], f"{layout.root}/raw/csv", f"{name}.csv"
+        read = read_csv_records if name in MULTI_LINE_EXPORTS else read_csv_lines
+        return lambda: read(spark, root, [batch_id], file, columns).select(*columns, PARSED, RECORD)
 
     readers = {EVENTS: logs, LEADS: leads} | {name: export(name) for name in RAW_CSV_COLUMNS}
     found = {name: _if_present(read) for name, read in readers.items()}
     return {name: frame for name, frame in found.items() if frame is not None}
 
 
-def load_bronze(spark: SparkSession, layout: Layout, batch_id: str) -> int:
-    """Write the batch's partitions and compare row counts with raw; returns the rows loaded."""
+def published_rows(spark: SparkSession, layout: Layout, batch_id: str, plan: BatchPlan) -> dict[str, int]:
+    """Rows that the file of published counts gives this batch, by table; none where there is no such file.
+
+    It has a row for each raw table and a column for each batch, named by its id or the id's first word.
+    """
+    counts = _if_present(lambda: spark.read.option("header", True).csv(layout.table("raw", COUNTS_FILE)))
+    if counts is None:
+        return {}
+    columns = [c for c in counts.columns if batch_id == c or batch_id.startswith(f"{c}_")]
+    if len(columns) != 1:
+        raise RowCountError(f"{COUNTS_FILE} has no column for {batch_id}")
+    rows = counts.select("table_name", F.col(columns[0]).cast("long").alias("n_rows")).collect()  # a row for each table
+    return {PUBLISHED_NAMES.get(r.table_name, r.table_name): r.n_rows for r in rows}
+
+
+def load_bronze(
+    spark: SparkSession, layout: Layout, batch_id: str, plan: BatchPlan = MARKETPLACE_BATCHES
+) -> int:
+    """Write the batch's partitions and compare row counts; returns the rows loaded.
+
+    Raw is read once: its rows are counted on their way into the table. The table must hold as many,
+    and as many as were published, if they were.
+    """
     files = {EVENTS: LOG_FILE, LEADS: LEADS_FILE}
+    published = published_rows(spark, layout, batch_id, plan)
     total = 0
-    for name, frame in raw_frames(spark, layout, batch_id).items():
+    frames = raw_frames(spark, layout, batch_id)
+    for name, frame in frames.items():
         audited = add_audit_columns(frame, batch_id, files.get(name, f"{name}.csv"))
         path = layout.table("bronze", name)
-        overwrite_batches(audited, path)
+        n_raw = overwrite_counted(audited, path)
         loaded = batch_load_summary(spark.read.parquet(path), batch_id=batch_id).first()
         n_loaded = loaded.n_rows if loaded else 0
-        n_raw = frame.count()
+        if n_loaded != n_raw:
+            n_raw = frame.count()
         if n_loaded != n_raw:
             raise RowCountError(f"{name} {batch_id}: {n_loaded} rows in bronze, {n_raw} in raw")
+        if n_loaded != published.get(name, n_loaded):
+            raise RowCountError(f"{name} {batch_id}: {n_loaded} rows in bronze, {published[name]} published")
         total += n_loaded
+    for name, n_rows in published.items():
+        if n_rows and name not in frames:
+            raise RowCountError(f"{name} {batch_id}: no file, {n_rows} rows published")
     return total
 
 
@@ -172,6 +204,11 @@ def _bronze(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return _no_bronze(spark, name) if found is None else found
 
 
+def _export(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """The parsed rows of a bronze CSV table; the others stay in bronze and are counted by a check."""
+    return _bronze(spark, layout, name).filter(PARSED).drop(PARSED, RECORD)
+
+
 def _no_bronze(spark: SparkSession, name: str) -> DataFrame:
     def no_rows(*columns: str) -> DataFrame:
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
@@ -181,7 +218,7 @@ def _no_bronze(spark: SparkSession, name: str) -> DataFrame:
     elif name == LEADS:
         frame = parse_json_lines(no_rows("raw_json"))
     else:
-        frame = no_rows(*RAW_CSV_COLUMNS[name].split())
+        frame = no_rows(*RAW_CSV_COLUMNS[name], RECORD).withColumn(PARSED, F.lit(True))
     return add_audit_columns(frame, F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
@@ -195,7 +232,7 @@ def _take_in(
     are not planned), it is built from all of bronze.
     """
     state, draft = KeyedState(layout.layer(spark, "state"), shape, plan), layout.draft(spark, "state")
-    bronze = _bronze(spark, layout, bronze_name)
+    bronze = _export(spark, layout, bronze_name) if bronze_name in RAW_CSV_COLUMNS else _bronze(spark, layout, bronze_name)
     there = layout.bronze_batches(spark, bronze_name)
     new = shape.name not in draft.tables
     if batch_id is None or new or {*there, batch_id} != {*state.batches(draft), batch_id}:
@@ -257,27 +294,27 @@ def build_silver(spark: SparkSession, layout: Layout, plan: BatchPlan, batch_id:
     latest, parts = take_in(ORDER_STATE, "orders", silver.order_versions)
     write_parts("orders", silver.latest_orders(latest, plan), ORDER_STATE.part(), parts)
     orders = written("orders")
-    write("order_items", silver.order_items(_bronze(spark, layout, "order_items"), orders))
-    write("order_payments", silver.order_payments(_bronze(spark, layout, "order_payments")))
+    write("order_items", silver.order_items(_export(spark, layout, "order_items"), orders))
+    write("order_payments", silver.order_payments(_export(spark, layout, "order_payments")))
     take_in(REVIEW_STATE, "order_reviews", silver.review_versions)
     reviews = KeyedState(layout.layer(spark, "state"), REVIEW_STATE, plan)
     latest = reviews.current(layout.draft(spark, "state"))
     write("order_reviews", silver.latest_reviews(latest, orders, plan))
-    write("customers", silver.customers(_bronze(spark, layout, "customers"), plan))
-    write("sellers", silver.sellers(_bronze(spark, layout, "sellers"), plan))
+    write("customers", silver.customers(_export(spark, layout, "customers"), plan))
+    write("sellers", silver.sellers(_export(spark, layout, "sellers"), plan))
     write(
         "product_category_translation",
         silver.product_category_translation(
-            _bronze(spark, layout, "product_category_translation"), plan
+            _export(spark, layout, "product_category_translation"), plan
         ),
     )
     write(
         "products",
         silver.products(
-            _bronze(spark, layout, "products"), written("product_category_translation"), plan
+            _export(spark, layout, "products"), written("product_category_translation"), plan
         ),
     )
-    write("geolocation", silver.geolocation(_bronze(spark, layout, "geolocation"), plan))
+    write("geolocation", silver.geolocation(_export(spark, layout, "geolocation"), plan))
 
 
 def build_gold(spark: SparkSession, layout: Layout, plan: BatchPlan) -> None:
@@ -397,6 +434,10 @@ def silver_checks(
             warn,
         ),
         check("leads bronze unparsed", checks.unparsed(bronze_leads), error),
+        *[
+            check(f"{name} bronze unparsed", checks.unparsed(_bronze(spark, layout, name)), warn)
+            for name in RAW_CSV_COLUMNS
+        ],
         check(
             "leads counts match bronze",
             checks.lead_layer_problems(
@@ -472,6 +513,18 @@ def gold_checks(spark: SparkSession, layout: Layout, plan: BatchPlan) -> list[ch
     ]
 
 
+def second_route_check(spark: SparkSession, layout: Layout, plan: BatchPlan) -> checks.Check:
+    """Published KPI tables against the same figures straight from bronze, which it reads as a whole."""
+    b = lambda name: _export(spark, layout, name)
+    orders = second_route.order_components(b("orders"), b("order_items"), b("order_reviews"), b("customers"), plan)
+    leads = second_route.lead_components(_bronze(spark, layout, LEADS), plan)
+    sessions = second_route.session_components(_bronze(spark, layout, EVENTS))
+    expected = second_route.metrics(second_route.kpi_tables(orders, leads, sessions, plan))
+    actual = [to_metrics(layout.read(spark, "gold", name), name, GOLD_KEYS[name]) for name in KPI_TABLES]
+    problems = compare_metrics(checks.union_all(expected), checks.union_all(actual))
+    return checks.Check("kpis agree with the second route", problems, checks.WARN)
+
+
 def check_batch_order(
     spark: SparkSession, layout: Layout, batch_id: str, plan: BatchPlan
 ) -> None:
@@ -526,7 +579,7 @@ def run_batch(
     step, n_in, n_out = "bronze", None, None
     status = ledger.FAILED
     try:
-        n_in = load_bronze(spark, layout, batch_id)
+        n_in = load_bronze(spark, layout, batch_id, plan)
         write_manifests(spark, layout, batch_id)
         step = "silver"
         build_silver(spark, layout, plan, batch_id)
@@ -536,7 +589,10 @@ def run_batch(
         layout.publish("state", "silver")
         step = "gold"
         build_gold(spark, layout, plan)
-        gold_report = checks.raise_on_errors(checks.report(gold_checks(spark, layout, plan)))
+        found = gold_checks(spark, layout, plan)
+        if plan.is_final(batch_id):
+            found = [*found, second_route_check(spark, layout, plan)]
+        gold_report = checks.raise_on_errors(checks.report(found))
         layout.publish("gold")
         n_out = rows_out(spark, layout)
         status = ledger.SUCCESS

@@ -144,3 +144,14 @@ def expected_row_counts(spark: SparkSession, plan: BatchPlan = MARKETPLACE_BATCH
         for batch_id, count in zip(plan.ids, counts)
     ]
     return small_table(spark, rows, ROW_COUNT_SCHEMA)
+
+
+PUBLISHED_SCHEMA = "table_name string, expected_rows bigint, expected_distinct bigint, expected_excluded bigint"
+# Of the published leads so many have a deal in scope, all with their own key.
+PUBLISHED_DEALS = ("marketing_deals", 792, 792, 50)
+
+
+def published_totals(spark: SparkSession) -> DataFrame:
+    """Rows, distinct keys and rows left out of each raw table; excluded deals stand with the leads, too."""
+    rows = [(table, sum(counts), keys, excluded) for table, counts, keys, excluded in RAW_ROW_COUNTS]
+    return small_table(spark, [*rows, PUBLISHED_DEALS], PUBLISHED_SCHEMA)

@@ -118,6 +118,29 @@ def _parsed(record: Column, columns: Sequence[str]) -> Column:
     return F.from_csv(record, shape.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
 
 
+def read_csv_lines(spark: SparkSession, root: str, batch_ids: Sequence[str], file_name: str, columns: Sequence[str]) -> DataFrame:
+    """As ``read_csv_records`` for exports without line breaks in cells: every line is a record, no text is shuffled."""
+    shape = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, RECORD)])
+    pattern = f"{root.rstrip('/')}/{{{','.join(batch_ids)}}}/{file_name}"
+    rows = (
+        spark.read.schema(shape)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("encoding", "UTF-8")
+        .option("escape", '"')
+        .option("columnNameOfCorruptRecord", RECORD)
+        .csv(pattern)
+    )
+    good = F.col(RECORD).isNull()
+    return rows.select(
+        *[F.when(good, F.col(c)).alias(c) for c in columns],
+        good.alias(PARSED),
+        RECORD,
+        F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+(?:/part-[^/]+)?$", 1).alias("batch_id"),
+        F.lit(file_name).alias("source_file"),
+    )
+
+
 def read_csv_records(spark: SparkSession, root: str, batch_ids: Sequence[str], file_name: str, columns: Sequence[str]) -> DataFrame:
     """All batches of one export, every value as text, with ``is_parsed``, ``raw_record`` and ``batch_id``.
 

@@ -45,7 +45,8 @@ class Shape:
     """What competes and how it is stored.
 
     Rows with equal ``keys`` compete; rows with equal ``within`` (some of the keys, all by default) share
-    a part. ``order`` decides among rows of one batch; without one all of them stay.
+    a part. ``order`` decides among rows of one batch; without one all of them stay. Unless a number of
+    ``buckets`` is given, a new table gets as many as the session has shuffle partitions, and keeps them.
     """
 
     name: str
@@ -53,8 +54,8 @@ class Shape:
     within: tuple[str, ...] = ()
     newest: bool = True
     order: tuple[str, ...] = ()
-    parts: int = 16
-    buckets: int = 64
+    parts: int = 8
+    buckets: int | None = None
     spread: int = 4
 
     @property
@@ -125,13 +126,17 @@ class KeyedState:
         """The batches the state was built from."""
         return draft.notes.get(self.shape.name, [])
 
+    def _buckets(self, draft: Draft) -> int:
+        wanted = self.shape.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return draft.notes.setdefault(f"{self.shape.name} buckets", wanted)
+
     def current(self, draft: Draft, parts: Iterable[int] | None = None) -> DataFrame | None:
         """The rows of the state or of some of its parts, with part, salted key and sequence; None while it has no table."""
         if self.shape.name not in draft.tables:
             return None
         known = draft.tables[self.shape.name]["folders"]
         if not self.spark.catalog.tableExists(self.table):
-            self._create(T.StructType.fromJson(json.loads(draft.tables[self.shape.name]["schema"])))
+            self._create(T.StructType.fromJson(json.loads(draft.tables[self.shape.name]["schema"])), self._buckets(draft))
         places = {int(part): folder.split("/")[1].removeprefix(f"{VERSION}=") for part, folder in known.items()}
         if places:
             named = " ".join(f"PARTITION ({VERSION}='{v}', {PART}={p})" for p, v in places.items())
@@ -144,11 +149,11 @@ class KeyedState:
         rows = self.spark.table(self.table)
         return rows.where(reduce(or_, there) if there else F.lit(False)).drop(VERSION)
 
-    def _create(self, columns: T.StructType) -> None:
+    def _create(self, columns: T.StructType, buckets: int) -> None:
         """Another session wrote the files: this one's catalog learns of them."""
         self.spark.sql(
             f"CREATE TABLE {self.table} ({columns.toDDL()}, {VERSION} STRING, {PART} INT) USING parquet PARTITIONED BY ({VERSION}, {PART}) "
-            f"CLUSTERED BY ({KEY}) INTO {self.shape.buckets} BUCKETS LOCATION '{self.folder}'"
+            f"CLUSTERED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{self.folder}'"
         )
 
     def _parts(self, rows: DataFrame) -> set[int]:
@@ -159,7 +164,7 @@ class KeyedState:
         versioned = rows.select(*data, F.lit(draft.name).alias(VERSION), PART)
         writer = versioned.write.mode("append").format("parquet").partitionBy(VERSION, PART)
         with _setting(self.spark, CO_PARTITION, "false"):
-            writer.bucketBy(self.shape.buckets, KEY).option("path", self.folder).saveAsTable(self.table)
+            writer.bucketBy(self._buckets(draft), KEY).option("path", self.folder).saveAsTable(self.table)
         draft.point_parts(self.shape.name, rows.select(*data), f"{self.shape.name}/{VERSION}={draft.name}", touched)
 
     def rebuild(self, draft: Draft, rows: DataFrame, batches: Sequence[str]) -> list[int]:
@@ -169,7 +174,7 @@ class KeyedState:
             position = F.coalesce(position, F.lit(len(self.plan.ids)))  # batches that are not planned rank last
         winners = shape.winners(rows.withColumn(SEQUENCE, position))
         every = list(range(shape.parts))
-        self._write(draft, shape.keyed(winners).repartition(shape.buckets, KEY), every)
+        self._write(draft, shape.keyed(winners).repartition(self._buckets(draft), KEY), every)
         draft.notes[shape.name] = list(batches)
         return every
 
@@ -202,11 +207,11 @@ class KeyedState:
             if stronger:
                 pieces.append(before.where(beats))
                 new = shape.matched(new, shape.keys_of(before.where(beats)), "left_anti")
-        pieces.append(new.repartition(shape.buckets, KEY))
+        pieces.append(new.repartition(self._buckets(draft), KEY))
         if gone is not None and weaker and not gone.isEmpty():
             candidates = others(weaker).withColumn(SEQUENCE, plan.position_of(F.col("batch_id")))
             back = shape.winners(shape.matched(shape.keyed(candidates), gone, "left_semi"))
-            pieces.append(back.repartition(shape.buckets, KEY))
+            pieces.append(back.repartition(self._buckets(draft), KEY))
         self._write(draft, reduce(DataFrame.unionByName, pieces), sorted(touched))
         draft.notes[shape.name] = sorted({*loaded, batch_id}, key=plan.sequence_of)
         return sorted(touched)

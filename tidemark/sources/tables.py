@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 AUDIT_COLUMNS = ("batch_id", "source_file", "ingested_at")
@@ -42,6 +42,17 @@ def overwrite_batches(rows: DataFrame, path: str, partition: str = BATCH) -> Non
     )
 
 
+def overwrite_counted(rows: DataFrame, path: str, partition: str = BATCH) -> int:
+    """As ``overwrite_batches``; how many rows went in, counted on their way.
+
+    A task that runs again after a lost executor may count its rows twice, so a caller that finds
+    another number in the table counts once more before it believes it.
+    """
+    seen = Observation()
+    overwrite_batches(rows.observe(seen, F.count(F.lit(1)).alias("n_rows")), path, partition)
+    return seen.get["n_rows"]
+
+
 def create_table(
     spark: SparkSession, name: str, columns_ddl: str, partition: str = BATCH, using: str = "parquet"
 ) -> None:

@@ -27,9 +27,6 @@ PART = "part"
 #: Pointers that ``prune`` keeps, the newest included.
 KEPT_VERSIONS = 3
 
-#: A table is one folder, or a folder for each part (a part without rows has none).
-Folders = str | dict[str, str]
-
 
 class VersionConflict(RuntimeError):
     """Another version was committed since this draft began."""
@@ -39,8 +36,8 @@ class MissingTable(LookupError):
     """No committed version of the layer has this table."""
 
 
-class _Store:
-    """The few file operations that pointers need, in any store that Spark reads."""
+class FileStore:
+    """A few file operations of the driver, in any store that Spark reads."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self._jvm = spark._jvm
@@ -83,13 +80,18 @@ class _Store:
     def delete(self, name: str) -> None:
         self._files.delete(self.path(name), True)
 
+    def move(self, name: str, to: str) -> None:
+        self._files.mkdirs(self.path(to).getParent())
+        if not self._files.rename(self.path(name), self.path(to)):
+            raise OSError(f"{name} could not be moved to {to}")
+
 
 class Layer:
     """The tables of a layer as of its newest pointer."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
-        self._store = _Store(spark, self.path)
+        self._store = FileStore(spark, self.path)
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
@@ -108,7 +110,8 @@ class Layer:
     def read(self, name: str, version: int | None = None) -> DataFrame:
         return self.frame(name, self.pointer(version)["tables"])
 
-    def frame(self, name: str, tables: Mapping[str, Folders]) -> DataFrame:
+    def frame(self, name: str, tables: Mapping[str, dict]) -> DataFrame:
+        """A table's ``folders`` are one, or one for each part (a part without rows has none)."""
         if name not in tables:
             raise MissingTable(f"{self.path} has no table {name}")
         schema, folders = tables[name]["schema"], tables[name]["folders"]
