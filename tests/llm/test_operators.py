@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -268,6 +269,15 @@ def test_secrets_against_re():
         assert [s for s in secrets.found_in(text.encode(), secrets.scanner()) if s[1] < 3] == _secrets_by_re(text)
 
 
+@pytest.mark.parametrize("head", ["secret=xxtoken:", "secret=xx token:", "password=a", ""])
+def test_secrets_of_a_long_text_in_linear_time(head):
+    text = head + "n" * 500_000 + "token=abcdefg" + "f" * 500_000
+    began = time.process_time()
+    got = [s for s in secrets.found_in(text.encode(), secrets.scanner()) if s[1] < 3]
+    assert time.process_time() - began < 10
+    assert got == _secrets_by_re(text)
+
+
 def test_secret_spans_and_masking(spark):
     token = "ghp_" + "a1B2" * 9
     texts = [None, "", f"é key {token} end", "token=abcdef1 token: x", "plain"]
@@ -407,9 +417,11 @@ def test_pruning_keeps_what_reaches_the_threshold():
     assert least[0] > 0 and least[-1] < 0.8 * jaccard.BANDS * jaccard.ROWS and (np.diff(least) >= 0).all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [1 << 18, 0])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few)
     edges = [(5, 1), (1, 9), (9, 7), (20, 21), (21, 22), (22, 20), (3, 3)] + [(100 + i, 101 + i) for i in range(30)]
-    got = {r.a: r.b for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.a: r.b for r in components.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
     assert got == {5: 1, 9: 1, 7: 1, 21: 20, 22: 20, **{101 + i: 100 for i in range(30)}}
 
 

@@ -59,28 +59,44 @@ class Scanner:
         self._ahead: list[Automaton] = [compiled([node]) for node in whole]
         self._back: list[Automaton] = [compiled([backwards(node)]) for node in whole]
         self._heads: list[Automaton | None] = [compiled([parsed(r.head)]) if r.head else None for r in rules]
+        self._each: list[Automaton] = [compiled([node], anywhere=True) for node in whole]
+        self._each_rows = [[row.tolist() for row in a.moves] for a in self._each]
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_rows"}  # workers make their lists from the arrays
+        return {k: v for k, v in self.__dict__.items() if k not in ("_rows", "_each_rows")}  # workers make their lists from the arrays
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self._rows = [row.tolist() for row in self._all.moves]
+        self._each_rows = [[row.tolist() for row in a.moves] for a in self._each]
 
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(begin, rule, end) in bytes, by begin and rule."""
         rows, accepting, state = self._rows, self._all.accepting, self._all.start
         found: list[tuple[int, int, int]] = []
         used = [0] * len(self.rules)
+        # behind a rule's last match its own automaton starts anew: it tells matches that begin there from those that
+        # begin inside, and reads each byte once however often the combined one accepts
+        read, states = [0] * len(self.rules), [0] * len(self.rules)
         for at, byte in enumerate(data):
             state = rows[state][byte]
             if state >= accepting:
                 for k in self._bits[state]:
-                    if at >= used[k]:
+                    if at >= used[k] and (used[k] == 0 or self._ends(data, at + 1, k, used, read, states)):
                         self._resolve(data, at + 1, k, used, found)
         found.sort()
         return found
 
+    def _ends(self, data: bytes, hit: int, k: int, used: list[int], read: list[int], states: list[int]) -> bool:
+        """Whether a match that begins behind the rule's last one ends here."""
+        if read[k] < used[k]:
+            read[k], states[k] = used[k], self._each[k].start
+        rows, state = self._each_rows[k], states[k]
+        for byte in data[read[k] : hit]:
+            state = rows[state][byte]
+        read[k], states[k] = hit, state
+        return state >= self._each[k].accepting
+
     def _resolve(self, data: bytes, hit: int, k: int, used: list[int], found: list[tuple[int, int, int]]) -> None:
         begin = self._back[k].longest_back(data, hit, used[k])
         if begin < 0:

@@ -33,6 +33,8 @@ from tidemark.llm.common import as_bytes, map_arrow, portions, stored
 
 #: Windows of one text that are looked at together; longer texts are cut, with overlap.
 SEGMENT = 1 << 20
+#: Bytes of strings that a task holds before it hands them on: one text may give a string for each of its windows.
+HELD_BYTES = 4 << 20
 _FIRST = -(1 << 63)
 
 
@@ -158,6 +160,7 @@ def packed_strings(rows: DataFrame, shape: Shape) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, "packed", 1 << 20):
             out: list[tuple] = []
+            held = 0
             for doc, row, raw, numbers in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 text = unpacked(raw)
                 begins, ends, values = shape.units(np.frombuffer(text, np.uint8))
@@ -171,9 +174,10 @@ def packed_strings(rows: DataFrame, shape: Shape) -> DataFrame:
                         string = b" ".join(string.split())
                     digest = np.frombuffer(hashlib.blake2b(string, digest_size=16).digest(), np.int64)
                     out.append((int(key[i : i + 1].view(np.int64)[0]), int(place[i]) - a, string, int(digest[0]), int(digest[1]), doc, row, a))
-                if len(out) >= 20_000:
-                    yield _string_rows(out)
-                    out = []
+                    held += len(string)
+                    if len(out) >= 20_000 or held >= HELD_BYTES:
+                        yield _string_rows(out)
+                        out, held = [], 0
             if out:
                 yield _string_rows(out)
 
