@@ -11,7 +11,9 @@ from tests.llm.test_operators import by_id, documents
 from tidemark.llm import toxicity
 
 
-def test_thresholds_by_all_labelled_rows(spark):
+@pytest.mark.parametrize("most", [1 << 18, 0])
+def test_thresholds_by_all_labelled_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(toxicity, "BROADCAST_IDS", most)
     r = random.Random(3)
     rows = []
     for i in range(3000):  # a word of sure toxicity, one that is toxic once in ten, and none

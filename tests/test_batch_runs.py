@@ -10,6 +10,7 @@ from tidemark.operators import checks
 from tidemark.operators.batches import MARKETPLACE_BATCHES as PLAN
 from tidemark.plans import pipeline
 from tidemark.plans.contract import GOLD_COLUMNS
+from tidemark.sources import routed
 from tidemark.sources.tables import overwrite_batches
 
 BULK = PLAN.ids[0]
@@ -160,3 +161,13 @@ def test_gold_agrees_with_the_second_route(spark, tmp_path):
     draft.write("kpi_sales_month", spark.createDataFrame(months.withColumn("avg_order_value", off).collect(), months.schema))
     found = pipeline.second_route_check(spark, layout, PLAN).violations.collect()
     assert {(r.table_name, r.kpi_name, r.problem) for r in found} == {("kpi_sales_month", "avg_order_value", "different")}
+
+
+def test_routed_leads_are_loaded(spark, tmp_path):
+    """What the routed writer leaves is what a batch reads; what it set apart is not read."""
+    rows = [(BULK, '{"mql_id":"m1"}'), (BULK, '{"mql_id":"m2"}'), ("2018-06", '{"mql_id":"m1","deal":{"sr_id":"s"}}'), ("_excluded", '{"mql_id":"m2"}')]
+    routed.write_routed(spark.createDataFrame(rows, "route string, value string"), str(tmp_path / "raw" / "marketing_funnel"), pipeline.LEADS_FILE)
+    layout = pipeline.Layout(str(tmp_path))
+    assert [pipeline.load_bronze(spark, layout, batch) for batch in (BULK, "2018-06")] == [2, 1]
+    loaded = layout.read(spark, "bronze", "marketing_leads").where("is_parsed")
+    assert sorted((r.mql_id, r.deal is not None) for r in loaded.collect()) == [("m1", False), ("m1", True), ("m2", False)]

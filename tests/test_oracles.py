@@ -27,7 +27,9 @@ QUICK = (
     "range_join_batches nest_child_replay key_set_reconcile geo_rollup silver_leads silver_events "
     "silver_orders_flags silver_items_flags silver_payments_flags silver_reviews_flags "
     "silver_products_flags fact_order fact_session kpi_funnel_day kpi_lead_origin "
-    "kpi_delivery_month kpi_sales_state_month orphans_vs_expected batch_order_check"
+    "kpi_delivery_month kpi_sales_state_month orphans_vs_expected batch_order_check "
+    "versioned_publish catalog_overwrite incremental_orders csv_records routed_leads raw_verification "
+    "kpi_second_route"
 ).split()
 ALL = list(QUERIES)
 NAMES = ALL if os.environ.get("TIDEMARK_ALL_ORACLES") else QUICK
