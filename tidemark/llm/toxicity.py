@@ -3,7 +3,7 @@
 A word is a run of letters (bytes a-z after lower-casing, and all beyond ASCII). Its vector is the sum of the
 hashed embeddings of the word and of its first three to five bytes. Filters of several widths run over the words, each filter's largest response over the text goes
 to a logistic output. The classifier is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``, half
-of each class where there are as many); scoring reads every whole text. Thresholds are set by language,
+of each class where there are as many, without texts above ``SAMPLE_TEXT_BYTES``); scoring reads every whole text. Thresholds are set by language,
 the language being told from the text's own function words, so a score depends on the text alone: the
 threshold's logit is taken off, and 0.5 is the threshold everywhere. A language's threshold is the best F1 over
 all labelled rows outside the held-out fold whose text the classifier was not fitted on, each class weighted as it
@@ -17,6 +17,7 @@ highest counts; without labels of both classes every score is the share of toxic
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,7 +32,11 @@ from tidemark.llm.common import id_and_text, map_arrow, portions
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE_ROWS = 4000
+#: Longer texts (UTF-8 bytes) are scored like all others, but not fitted on: the sample's size has a bound.
+SAMPLE_TEXT_BYTES = 1 << 17
 FOLDS, HELD_OUT = 5, 0
+#: Labelled ids that are sent to all executors, at most (some 8 MB).
+BROADCAST_IDS = 1 << 18
 
 BUCKETS, DIMENSIONS = 1 << 15, 8
 WIDTHS, FILTERS = (1, 2, 3), 8
@@ -307,11 +312,18 @@ def _threshold(steps: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> fl
     return float((lowest + below) / 2 / STEPS)
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row: the model fitted on all rows of the task."""
+    rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("text", "label")))]
+    model = fitted([r[0] for r in rows], [r[1] for r in rows])
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
 def trained(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fitted on ``sample_rows`` labelled rows outside the held-out fold, which come here; thresholds by all of them, counted.
+    """Fitted on ``sample_rows`` labelled rows outside the held-out fold, in one task; thresholds by all of them, counted.
 
-    Rows are scored where they are; only their steps meet the labels, and at most a row for each step, language, label and
-    state of ``seen`` comes here.
+    The sample's texts stay in that task, which gives back one row, the model. Labelled rows are scored where they are,
+    and at most a row for each step, language, label and state of ``seen`` comes here.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -323,12 +335,18 @@ def trained(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     halves = [known.where(F.col("label") == k).orderBy(order, "id").limit(sample_rows // 2) for k in (0, 1)]
     picked = F.broadcast(halves[0].unionByName(halves[1]))  # at most sample_rows ids
     docs = id_and_text(documents)
-    rows = docs.join(picked, docs.doc_id == picked.id).select("doc_id", "text", "label").orderBy("doc_id", "text").limit(sample_rows).collect()
-    model = fitted([r.text for r in rows], [r.label for r in rows])
+    short = docs.where(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
+    rows = short.join(picked, docs.doc_id == picked.id).select("doc_id", "text", "label").orderBy("doc_id", "text").limit(sample_rows)
+    sample = rows.repartition(1).sortWithinPartitions("doc_id", "text")
+    row = map_arrow(sample, _fit, "model binary").first()
+    model = pickle.loads(row.model) if row else fitted([], [])
     if model.constant is None:
-        placed = _steps(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))), model)
-        told = placed.join(known, F.col("doc_id").eqNullSafe(F.col("id")))
-        counted = told.groupBy("step", "language", "label", "seen").agg(F.count("*").alias("n")).collect()
+        wanted = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        if known.count() <= BROADCAST_IDS:
+            # few labels: other documents need no score here. Of many, finding them first would shuffle the texts
+            wanted = wanted.join(F.broadcast(known.select(F.col("id").alias("told"))), F.col("doc_id") == F.col("told"), "left_semi")
+        placed = _steps(wanted, model).join(known, F.col("doc_id").eqNullSafe(F.col("id")))
+        counted = placed.groupBy("step", "language", "label", "seen").agg(F.count("*").alias("n")).collect()
         steps, languages, labelled, seen, counts = (np.array(c) for c in zip(*counted))
         _calibrate(model, steps, languages, labelled, seen, counts)
     return model
