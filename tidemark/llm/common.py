@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -44,10 +46,27 @@ def stored(frame: DataFrame) -> DataFrame:
 
 
 def map_arrow(frame: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``."""
+    """``mapInArrow`` with batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``.
+
+    A worker gives back what a task has freed before it waits for the next one, perhaps of another operator.
+    """
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return frame.mapInArrow(each, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from each(batches)
+        give_back_memory()
+
+    return frame.mapInArrow(run, schema)
+
+
+def give_back_memory() -> None:
+    """Freed memory of this worker goes back to the system: a worker is used again, by tasks that need less."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
 
 
 def portions(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import piece_hashes
-from tidemark.llm.common import id_and_text, map_arrow, portions
+from tidemark.llm.common import give_back_memory, id_and_text, map_arrow, portions
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE_ROWS = 4000
@@ -44,7 +44,7 @@ EPOCHS, BATCH, RATE, DECAY = 8, 64, 0.01, 1e-4
 #: Training ends early once the mean loss of an epoch is below.
 ENOUGH = 0.01
 #: UTF-8 bytes scored at once.
-SCORED_BYTES = 1 << 20
+SCORED_BYTES = 1 << 19
 #: Documents of a language that its own threshold needs, of each class.
 LEAST_OF_CLASS = 20
 #: Steps of a logit that thresholds are told apart by, and the logit up to which they are.
@@ -315,8 +315,10 @@ def _threshold(steps: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> fl
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row: the model fitted on all rows of the task."""
     rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("text", "label")))]
-    model = fitted([r[0] for r in rows], [r[1] for r in rows])
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+    model = pickle.dumps(fitted([r[0] for r in rows], [r[1] for r in rows]))
+    del rows
+    give_back_memory()
+    yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
 
 def trained(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
