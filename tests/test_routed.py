@@ -64,3 +64,30 @@ def test_every_child_is_in_one_place(spark):
     assert shown == [("one", "p1", None), ("one", "p2", None), ("one", "p3", "parent after"), ("two", "p1", "late")]
     placed = apart.count() + nested.where(F.col("child").isNotNull()).count()
     assert placed == len(children)
+
+
+def test_lines_are_compressed(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    rows = [("one", f"the same long line of text, {n % 3}" * 20) for n in range(5000)]
+    routed.write_routed(records(spark, rows), root, FILE)
+    written = sum(p.stat().st_size for p in (tmp_path / "raw" / "one" / FILE).glob("part-*"))
+    assert written < sum(len(value) for _, value in rows) / 10
+    assert Counter(map(tuple, routed.read_routed(spark, root, FILE).collect())) == Counter(rows)
+
+
+def test_children_of_a_hot_key_are_compared_by_parts(spark, monkeypatch):
+    monkeypatch.setattr(routed, "HOT_ROWS", 10)
+    rows = [("hot", n, "x") for n in range(40)] + [("hot", 0, "x")] * 3 + [(None, n, "n") for n in range(20)] + [("cold", 2, "b"), ("cold", 1, None)]
+    frame = spark.createDataFrame(rows, "k string, n int, name string").repartition(5)
+    first, repeated = routed.first_and_repeated(frame, ["k"], ["n"])
+    got = Counter(map(tuple, first.collect()))
+    assert got == Counter([("hot", 0, "x"), (None, 0, "n"), ("cold", 1, None)])
+    assert got + Counter(map(tuple, repeated.collect())) == Counter(rows)
+
+
+def test_children_are_shuffled_once(spark):
+    """What follows reads them as they were numbered."""
+    frame = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, n int")
+    for found in routed.first_and_repeated(frame, ["k"], ["n"]):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and "LogicalRDD" not in plan

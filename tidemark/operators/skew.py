@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _join_on_keys(
+def join_on_keys(
     rows: DataFrame, unique_side: DataFrame, keys: Sequence[str], how: str
 ) -> DataFrame:
     added = [c for c in unique_side.columns if c not in keys]
@@ -40,7 +40,7 @@ def lookup_join(
     key an ordinary join does as well.
     """
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    return _join_on_keys(rows, unique_side.filter(complete), keys, how)
+    return join_on_keys(rows, unique_side.filter(complete), keys, how)
 
 
 def with_group_values(
@@ -53,4 +53,4 @@ def with_group_values(
     join back can be split.
     """
     groups = rows.groupBy(*keys).agg(*[v.alias(name) for name, v in values.items()])
-    return _join_on_keys(rows, groups, keys, "inner")
+    return join_on_keys(rows, groups, keys, "inner")

@@ -15,16 +15,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.batches import BatchPlan, replay_children
-from tidemark.operators.skew import lookup_join, with_group_values
+from tidemark.operators.skew import join_on_keys, lookup_join
+from tidemark.sources.scratch import written_table
 from tidemark.sources.versions import FileStore
 
 MANIFEST = "_manifest.json"
 #: Children that come after another of their key, have no parent, or lie after the cutoff.
 REPEATED, ORPHANS, EXCLUDED = "_repeated", "_orphans", "_excluded"
+#: A key with more children than this is compared by parts in several tasks.
+HOT_ROWS, HOT_PARTS = 100_000, 64
 
 
 @dataclass(frozen=True)
@@ -36,16 +39,23 @@ class RouteTotals:
 def first_and_repeated(children: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The first child of each key, and all others; copies of the first are others.
 
-    Equal rows become one with their number first, so a key's children are compared, not gathered.
+    Children are shuffled once, numbered by key, and written. A key with more than ``HOT_ROWS`` is numbered in
+    ``HOT_PARTS`` parts, and the first rows of its parts are numbered again.
     """
     columns = children.columns
     ranked = [*order, *[c for c in columns if c not in order and c not in keys]]
-    counted = children.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
-    marked = with_group_values(counted, keys, {"__first": F.min(F.struct(*ranked))})
-    is_first = F.struct(*ranked).eqNullSafe(F.col("__first"))
-    others = F.col("__copies") - F.when(is_first, 1).otherwise(0)
-    spare = marked.where(others > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), others)))
-    return marked.where(is_first).select(*columns), spare.select(*columns)
+    sizes = children.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = sizes.where(F.col("__rows") > HOT_ROWS).select(*keys, F.lit(True).alias("__hot"))
+    # at most one row for HOT_ROWS children
+    part = F.when(F.col("__hot"), F.pmod(F.spark_partition_id(), F.lit(HOT_PARTS)))
+    dealt = join_on_keys(children, F.broadcast(hot), keys, "left").withColumn("__part", part)
+    by_part = Window.partitionBy(*keys, "__part").orderBy(*ranked)
+    numbered = dealt.withColumn("__at", F.row_number().over(by_part)).drop("__hot")
+    placed = written_table(numbered, "placed_children")
+    heads = placed.where("__part IS NOT NULL AND __at = 1")
+    again = heads.withColumn("__at", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked)))
+    settled = placed.where("__part IS NULL OR __at > 1").unionByName(again)
+    return settled.where("__at = 1").select(*columns), settled.where("__at > 1").select(*columns)
 
 
 def route_family(
@@ -71,14 +81,14 @@ def _digest() -> Column:
 
 
 def write_routed(records: DataFrame, root: str, file_name: str) -> dict[str, RouteTotals]:
-    """``route, value`` as lines of text below each route, all in one pass; the manifest's content.
+    """``route, value`` as lines of compressed text below each route, all in one pass; the manifest's content.
 
     Writing again replaces every route, also those that have no records any more.
     """
     spark, root = records.sparkSession, root.rstrip("/")
     store, staged = FileStore(spark, root), f"{root}/.staged-{uuid.uuid4().hex}"
     # even files, and a route that holds most of the records is split
-    records.select("route", "value").hint("rebalance", F.col("route")).write.partitionBy("route").text(staged)
+    records.select("route", "value").hint("rebalance", F.col("route")).write.partitionBy("route").text(staged, compression="gzip")
     totals = route_totals(spark.read.schema("value string, route string").text(staged))
     for old in store.names(root):
         if not old.startswith(".") and old != MANIFEST and file_name in store.names(f"{root}/{old}"):
