@@ -12,7 +12,7 @@ from tidemark.functions.casting import (
     integral_to_int,
     safe_cast,
 )
-from tidemark.functions.flags import flag_list, is_reject, none_of, reject_reason
+from tidemark.functions.flags import FLAG_SEPARATOR, flag_list, is_reject, none_of, reject_reason
 from tidemark.functions.text import (
     blank_to_null,
     category_or_unknown,
@@ -28,6 +28,7 @@ from tidemark.plans.contract import conform
 
 # Fixed value: calendar days after purchase beyond which a shipping limit is implausible.
 LONGEST_SHIPPING_LIMIT = 148
+FAILED = "__failed"
 
 
 # --- leads ---------------------------------------------------------------------------------
@@ -244,6 +245,17 @@ def _typed(raw: DataFrame, types: dict[str, str]) -> tuple[DataFrame, list[Colum
     return cast, failed
 
 
+def _with_failed(typed: DataFrame, failed: list[tuple[str, Column]]) -> DataFrame:
+    """The flags of casts that failed as one column, so that a join carries no raw text beside the typed columns."""
+    raw = [c for c in typed.columns if c.startswith("__raw_")]
+    return typed.withColumn(FAILED, flag_list(failed)).drop(*raw)
+
+
+def _and_failed(pairs: list[tuple[str, Column]]) -> Column:
+    """The flags of ``pairs``, then those of ``_with_failed``."""
+    return F.nullif(F.concat_ws(FLAG_SEPARATOR, flag_list(pairs), F.col(FAILED)), F.lit(""))
+
+
 def _trimmed(raw: DataFrame, columns: list[str]) -> DataFrame:
     return raw.withColumns({c: blank_to_null(F.col(c)) for c in columns})
 
@@ -342,9 +354,10 @@ def order_items(
             "freight_value": "DECIMAL(10, 2)",
         },
     )
-    dated = lookup_join(typed, _purchase_dates(silver_orders), ["order_id"], "left")
+    checked = _with_failed(typed, failed)
+    dated = lookup_join(checked, _purchase_dates(silver_orders), ["order_id"], "left")
     days = F.datediff(F.col("shipping_limit_date").cast("date"), F.col("__purchase_date"))
-    flags = flag_list([("I1", days > LONGEST_SHIPPING_LIMIT)] + failed)
+    flags = _and_failed([("I1", days > LONGEST_SHIPPING_LIMIT)])
     return conform(dated.withColumn("dq_flag", flags), "order_items")
 
 
@@ -417,13 +430,9 @@ def reviews_at_cutoff(
     typed: DataFrame, failed: list[tuple[str, Column]], silver_orders: DataFrame, plan: BatchPlan
 ) -> DataFrame:
     answered = F.col("review_answer_timestamp")
-    dated = lookup_join(typed, _purchase_dates(silver_orders), ["order_id"], "left")
-    flags = flag_list(
-        [
-            ("R2", F.col("review_creation_date").cast("date") < F.col("__purchase_date")),
-        ]
-        + failed
-    )
+    checked = _with_failed(typed, failed)
+    dated = lookup_join(checked, _purchase_dates(silver_orders), ["order_id"], "left")
+    flags = _and_failed([("R2", F.col("review_creation_date").cast("date") < F.col("__purchase_date"))])
     flagged = dated.withColumn("dq_flag", flags).withColumn(
         "review_answer_timestamp", F.when(~plan.after_cutoff(answered), answered)
     )

@@ -33,7 +33,7 @@ def written_table(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = scratch_path(spark, name)
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression="zstd")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(rows.schema).parquet(path)
