@@ -89,3 +89,38 @@ def test_a_moved_column_is_an_error(spark, tmp_path):
 def test_a_file_with_a_header_only(spark, tmp_path):
     put(tmp_path, as_csv([]))
     assert csv_records.read_csv_records(spark, str(tmp_path), ["b1"], "t.csv", COLUMNS).count() == 0
+
+
+@pytest.mark.parametrize("batch_rows", ["1", "3", "50"])
+def test_long_records_over_batches_and_splits(spark, tmp_path, small_splits, monkeypatch, batch_rows):
+    monkeypatch.setattr(csv_records, "LONGEST_RECORD", 7)
+    r = random.Random(11)
+    sizes = [r.choice([1, 1, 2, 5, 7, 8, 40, 120]) for _ in range(120)]
+    put(tmp_path, as_csv([(str(i), "t", "\n".join(["m"] * n), "5") for i, n in enumerate(sizes)]))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, batch_rows)
+    try:
+        rows = csv_records.read_csv_records(spark, str(tmp_path), ["b1"], "t.csv", COLUMNS).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(int(x.id) for x in rows if x.is_parsed) == [i for i, n in enumerate(sizes) if n <= 7]
+    assert sum(not x.is_parsed for x in rows) == sum(n for n in sizes if n > 7)
+
+
+def test_lines_of_whole_records_are_not_shuffled(spark, tmp_path, small_splits):
+    put(tmp_path, as_csv(cells(12, 300)))
+    got = csv_records.read_csv_records(spark, str(tmp_path), ["b1"], "t.csv", COLUMNS)
+    records = csv_records._records(csv_records._numbered_lines(spark, str(tmp_path / "b1" / "t.csv")))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert records.count() == 301
+    assert plan.count("Aggregate") == 1  # of the records that go over the end of a split
+
+
+def test_splits_that_change_while_reading_are_an_error(spark, tmp_path, small_splits):
+    put(tmp_path, as_csv(cells(13, 100)))
+    got = csv_records.read_csv_records(spark, str(tmp_path), ["b1"], "t.csv", COLUMNS)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900b")
+    with pytest.raises(PySparkException, match="splits changed"):
+        got.collect()

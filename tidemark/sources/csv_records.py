@@ -3,12 +3,13 @@
 A line break ends a record only if an even number of quotes stands before it in the file. A task that reads
 a split from its middle cannot know that number, but it can tell whether its own split holds an odd number:
 
-1. each split gives its parity, and where its last record would start if it began outside or inside
-   quotes (no text is shuffled for this);
-2. a running sum of parities over the splits of a file tells which of the two holds, and in which earlier
-   split a record began that goes on here. That is one row for each split, in the order of the file;
-3. lines that are whole records are parsed where they are; only lines of records with line breaks meet,
-   by the place where their record starts.
+1. each split gives its parity and the first and last of its lines with an odd number of quotes (no text is
+   shuffled for this);
+2. a running sum of parities over the splits of a file tells which splits begin or end within a record. Up to
+   its first odd line such a split goes on with a record, from its last odd line it leaves one open; the lines
+   between are whole records. These zones are up to three rows for each split, and are written;
+3. lines of whole records are joined and parsed where they are, in the order in which a task reads them; only
+   lines of records that go over the end of a split meet, by the split where their record starts.
 
 A record that never ends (a quote too many) would take in the rest of its file, one of more than
 ``LONGEST_RECORD`` lines cannot be told from such: their lines are kept one by one as records that are not
@@ -17,90 +18,150 @@ parsed. So are records with too few or too many cells; of those nothing is kept
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.raw_csv import BYTE_ORDER_MARK
+from tidemark.sources.scratch import written_table
 
 #: Lines of the longest record with line breaks.
 LONGEST_RECORD = 10_000
 PARSED, RECORD = "is_parsed", "raw_record"
 
-_FILE, _SPLIT, _ROW, _LINE = "__file", "__split", "__row", "__line"
-_BEFORE, _PARITY = "__before", "__parity"
+_FILE, _SPLIT, _LENGTH, _ROW, _LINE, _PARITY = "__file", "__split", "__length", "__row", "__line", "__parity"
 _CORRUPT = "__corrupt"
 
 
 def _numbered_lines(spark: SparkSession, pattern: str) -> DataFrame:
-    """The lines of each split with their place in it, and the quotes before them in the split (odd: 1).
+    """The lines of each split with an increasing number, and whether their quotes are odd (1).
 
-    A split's lines come in order from one task, so an increasing id orders them.
+    A split's lines come in order from one task, so their numbers have no gaps.
     """
     lines = spark.read.option("lineSep", "\n").text(pattern).select(
         F.col("_metadata.file_path").alias(_FILE),
         F.col("_metadata.file_block_start").alias(_SPLIT),
-        F.monotonically_increasing_id().alias("__id"),
+        F.col("_metadata.file_block_length").alias(_LENGTH),
+        F.monotonically_increasing_id().alias(_ROW),
         F.col("value").alias(_LINE),
     )
     quotes = F.length(_LINE) - F.length(F.replace(_LINE, F.lit('"'), F.lit("")))
-    place = Window.partitionBy(_FILE, _SPLIT).orderBy("__id")
-    odd = lines.withColumn(_PARITY, F.pmod(quotes, F.lit(2)))
-    before = F.sum(_PARITY).over(place.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(_PARITY)
-    return odd.withColumn(_ROW, F.row_number().over(place)).withColumn(_BEFORE, F.pmod(before, F.lit(2))).drop("__id")
+    return lines.withColumn(_PARITY, F.pmod(quotes, F.lit(2)))
 
 
-def _splits(lines: DataFrame) -> DataFrame:
-    """For each split: whether it begins inside quotes, and the place of the record that is open there."""
-    ends = lines.groupBy(_FILE, _SPLIT).agg(
+def _zones(lines: DataFrame) -> DataFrame:
+    """For each split its ranges of lines: whole records, and parts of the record that began in split ``__of``.
+
+    ``__whole`` is false for the parts of a record without an end, or of too many lines.
+    """
+    odd_row = F.when(F.col(_PARITY) == 1, F.col(_ROW))
+    ends = lines.groupBy(_FILE, _SPLIT, _LENGTH).agg(
         F.pmod(F.sum(_PARITY), F.lit(2)).alias("__odd"),
-        F.max(F.when(F.col(_BEFORE) == 0, F.col(_ROW))).alias("__outside"),
-        F.max(F.when(F.col(_BEFORE) == 1, F.col(_ROW))).alias("__inside"),
+        F.min(_ROW).alias("__first_row"),
+        F.max(_ROW).alias("__last_row"),
+        F.min(odd_row).alias("__closes"),
+        F.max(odd_row).alias("__opens"),
+    )
+    earlier = Window.partitionBy(_FILE).orderBy(_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    entered = ends.withColumn("__entry", F.pmod(F.coalesce(F.sum("__odd").over(earlier), F.lit(0)), F.lit(2)) == 1)
+    left_open = (F.col("__entry") != (F.col("__odd") == 1)) & F.col("__opens").isNotNull()
+    placed = entered.withColumn("__left", left_open).withColumn(
+        "__open", F.last(F.when(F.col("__left"), F.col(_SPLIT)), ignorenulls=True).over(earlier)
     )
-    in_file = Window.partitionBy(_FILE).orderBy(_SPLIT)
-    earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    entered = ends.withColumn("__entry", F.pmod(F.coalesce(F.sum("__odd").over(earlier), F.lit(0)), F.lit(2)))
-    last = F.when(F.col("__entry") == 0, F.col("__outside")).otherwise(F.col("__inside"))
-    starts = entered.withColumn("__last", F.when(last.isNotNull(), F.struct(F.col(_SPLIT).alias("split"), last.alias("row"))))
-    whole = Window.partitionBy(_FILE)
-    return starts.select(
+    closed_at = F.coalesce("__closes", "__last_row")
+
+    def zone(begin: Column, end: Column, of: Column, closed: Column) -> Column:
+        return F.struct(begin.alias("__begin"), end.alias("__end"), of.cast("long").alias("__of"), closed.alias("__closed"))
+
+    first, last, opens = F.col("__first_row"), F.col("__last_row"), F.col("__opens")
+    inner_begin = F.when(F.col("__entry"), closed_at + 1).otherwise(first)
+    inner_end = F.when(F.col("__left"), opens - 1).otherwise(last)
+    zones = F.array_compact(
+        F.array(
+            F.when(F.col("__entry"), zone(first, closed_at, F.col("__open"), F.col("__closes").isNotNull())),
+            F.when(inner_begin <= inner_end, zone(inner_begin, inner_end, F.lit(None), F.lit(True))),
+            F.when(F.col("__left"), zone(opens, last, F.col(_SPLIT), F.lit(False))),
+        )
+    )
+    each = placed.select(_FILE, _SPLIT, _LENGTH, "__first_row", F.explode(zones).alias("__zone")).select("*", "__zone.*").drop("__zone")
+    record = Window.partitionBy(_FILE, "__of")
+    n_lines = F.sum(F.col("__end") - F.col("__begin") + 1).over(record)
+    ended = F.max("__closed").over(record) & (n_lines <= LONGEST_RECORD)
+    return each.select(
         F.col(_FILE).alias("__of_file"),
         F.col(_SPLIT).alias("__of_split"),
-        "__entry",
-        F.last("__last", ignorenulls=True).over(earlier).alias("__carried"),
-        # the record that a file leaves open has no end
-        F.when(F.pmod(F.sum("__odd").over(whole), F.lit(2)) == 1, F.max("__last").over(whole)).alias("__endless"),
+        F.col(_LENGTH).alias("__of_length"),
+        "__first_row",
+        "__begin",
+        "__end",
+        "__of",
+        (F.col("__of").isNull() | ended).alias("__whole"),
     )
 
 
+def _joined_in_order(longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Joins lines that follow each other to records; those of more than ``longest`` lines stay lines.
+
+    Where zones meet no record is open, so neither files nor splits need be told apart.
+    """
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # lines of a record that is open where a batch ends; of one that is too long, only that it is open
+        held, lost = None, False
+        for batch in batches:
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            held, n = None, rows.num_rows
+            if n == 0:
+                continue
+            files, lines, parity, first, loose = rows.columns
+            alone = loose.to_numpy(zero_copy_only=False).copy()
+            odd = np.where(alone, 0, parity.to_numpy(zero_copy_only=False)).astype(np.int64)
+            after = (np.cumsum(odd) + lost) % 2
+            if lost:
+                closing = np.flatnonzero(odd)
+                alone[: closing[0] + 1 if len(closing) else n] = True
+            begins = alone | ((after + odd) % 2 == 0)
+            starts = np.flatnonzero(begins)
+            sizes = np.diff(starts, append=n)
+            alone |= np.repeat(sizes > longest, sizes)
+            starts = np.flatnonzero(begins | alone)
+            is_open = after[-1] == 1
+            lost = bool(is_open and alone[-1])
+            if is_open and not lost:
+                held, n = rows.slice(starts[-1]), int(starts[-1])
+                starts = starts[:-1]
+            at = pa.array(starts, pa.int64())
+            texts = pa.ListArray.from_arrays(pa.array(np.append(starts, n), pa.int32()), lines)
+            yield pa.RecordBatch.from_arrays(
+                [files.take(at), pc.binary_join(texts, "\n"), first.take(at), pa.array(~alone[starts])],
+                names=[_FILE, RECORD, "__first", "__whole"],
+            )
+
+    return joined
+
+
 def _records(lines: DataFrame) -> DataFrame:
     """``__file``, the text of each record, whether it is the file's first, and whether it is whole."""
-    splits = _splits(lines)
-    placed = lines.join(splits, (F.col(_FILE) == F.col("__of_file")) & (F.col(_SPLIT) == F.col("__of_split")))
-    inside = F.pmod(F.col(_BEFORE) + F.col("__entry"), F.lit(2)) == 1
-    here = F.struct(F.col(_SPLIT).alias("split"), F.col(_ROW).alias("row"))
-    latest = Window.partitionBy(_FILE, _SPLIT).orderBy(_ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    begun = F.last(F.when(~F.col("__within"), here), ignorenulls=True).over(latest)
-    known = placed.withColumn("__within", inside).withColumn("__start", F.coalesce(begun, "__carried"))
-    endless = F.coalesce(F.col("__start") == F.col("__endless"), F.lit(False))
-    alone = ~F.col("__within") & (F.col(_PARITY) == 0)
-    is_first = (F.col(_SPLIT) == 0) & (F.col(_ROW) == 1)
-    marked = known.select(_FILE, _SPLIT, _ROW, _LINE, "__start", endless.alias("__endless"), alone.alias("__alone"), is_first.alias("__first"))
-    single = marked.where("__alone OR __endless").select(
-        _FILE, F.col(_LINE).alias(RECORD), F.col("__first"), (~F.col("__endless")).alias("__whole")
-    )
-    pieces = marked.where("NOT __alone AND NOT __endless")
-    sizes = pieces.groupBy(_FILE, "__start").agg(F.count(F.lit(1)).alias("__lines")).where(F.col("__lines") > LONGEST_RECORD)
-    too_long = sizes.select(F.col(_FILE).alias("__of_file"), F.col("__start").alias("__of_start"))
-    of_record = (F.col(_FILE) == F.col("__of_file")) & (F.col("__start") == F.col("__of_start"))
-    loose = pieces.join(too_long, of_record, "left_semi").select(_FILE, F.col(_LINE).alias(RECORD), "__first", F.lit(False).alias("__whole"))
+    zones = F.broadcast(written_table(_zones(lines), "csv_zones"))
+    of_split = (F.col(_FILE) == F.col("__of_file")) & (F.col(_SPLIT) == F.col("__of_split")) & (F.col(_LENGTH) == F.col("__of_length"))
+    placed = lines.join(zones, of_split & F.col(_ROW).between(F.col("__begin"), F.col("__end")), "left")
+    # the splits of a file may change with the cluster or the settings of the session; then no zone fits
+    moved = F.raise_error(F.concat(F.lit("splits changed while reading "), F.col(_FILE))).cast("boolean")
+    met = F.when(F.col("__whole").isNull(), moved).otherwise(F.col("__of").isNotNull() & F.col("__whole"))
+    is_first = (F.col(_SPLIT) == 0) & (F.col(_ROW) == F.col("__first_row"))
+    marked = placed.withColumn("__first", is_first)
+    in_order = marked.where(~met).select(_FILE, _LINE, _PARITY, "__first", (~F.col("__whole")).alias("__loose"))
+    here = in_order.mapInArrow(_joined_in_order(LONGEST_RECORD), f"{_FILE} string, {RECORD} string, __first boolean, __whole boolean")
     parts = F.array_sort(F.collect_list(F.struct(_SPLIT, _ROW, _LINE)))
-    joined = pieces.join(too_long, of_record, "left_anti").groupBy(_FILE, "__start").agg(
+    joined = marked.where(met).groupBy(_FILE, "__of").agg(
         F.array_join(F.transform(parts, lambda x: x[_LINE]), "\n").alias(RECORD), F.max("__first").alias("__first")
     )
-    return single.unionByName(loose).unionByName(joined.select(_FILE, RECORD, "__first", F.lit(True).alias("__whole")))
+    return here.unionByName(joined.select(_FILE, RECORD, "__first", F.lit(True).alias("__whole")))
 
 
 def _without_header(records: DataFrame, columns: Sequence[str]) -> DataFrame:
