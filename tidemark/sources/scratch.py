@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: HotSpot leaves longer methods (in bytes) interpreted; Spark's own limit is far above it.
+LONGEST_METHOD = 8000
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Inside, a stage whose one generated method is too long to be compiled runs operator by operator, in short methods."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(min(LONGEST_METHOD, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(limit, before)
+
+
 def written_table(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written once and read back, for a frame that feeds several branches.
 
@@ -33,7 +50,8 @@ def written_table(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = scratch_path(spark, name)
-    rows.write.parquet(path, compression="zstd")
+    with compiled_methods(spark):
+        rows.write.parquet(path, compression="zstd")
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(rows.schema).parquet(path)
