@@ -8,6 +8,8 @@ tables; mistakes are put into a share of the rows, none is left out.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,11 +179,14 @@ HAS_LEAD = "CAST(mql_id AS BIGINT) % 101 <> 0"
 FIRST_DEAL = ("won_date", "sr_id", "sdr_id", "seller_id")
 
 
-def replayed_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lead columns, deal, batch_id: each lead in its batch and again in that of its deal."""
+def replayed_leads(spark: SparkSession, sf_dir: str, deal_fields: Sequence[str] = DEAL_FIELDS) -> DataFrame:
+    """Lead columns, deal, batch_id: each lead in its batch and again in that of its deal.
+
+    The deal may be given fewer fields, of which ``FIRST_DEAL`` choose it.
+    """
     return replay_children(
         parents=lead_parents(spark, sf_dir),
-        children=deal_children(spark, sf_dir),
+        children=deal_children(spark, sf_dir).select("mql_id", *deal_fields),
         key="mql_id",
         parent_time="first_contact_date",
         child_time="won_date",

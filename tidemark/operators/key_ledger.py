@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 RAW, IN_SCOPE, EXCLUDED, PARENT = 1, 2, 4, 8
 
 
-def key_rows(table: str, rows: DataFrame, keys: Sequence[str | Column], role: int) -> DataFrame:
-    """``table_name, key, role``; parts of a key go in with their length, rows with a null part have no key."""
+def key_rows(table: str, rows: DataFrame, keys: Sequence[str | Column], role: int | Column) -> DataFrame:
+    """``table_name, key, role``; parts of a key go in with their length, rows with a null part have no key.
+
+    A row that is in several sets at once may give the sum of their bits as its ``role``.
+    """
 
     def cell(key: str | Column) -> Column:
         text = (F.col(key) if isinstance(key, str) else key).cast("string")
@@ -26,16 +29,20 @@ def key_rows(table: str, rows: DataFrame, keys: Sequence[str | Column], role: in
 
     # one null part makes the text null; without keys every row stands for itself
     key = F.concat(*[cell(k) for k in keys]) if keys else F.lit(None).cast("string")
-    return rows.select(F.lit(table).alias("table_name"), key.alias("key"), F.lit(role).alias("role"))
+    return rows.select(F.lit(table).alias("table_name"), key.alias("key"), F.lit(role).cast("int").alias("role"))
 
 
 def key_ledger(parts: Iterable[DataFrame]) -> DataFrame:
     """``table_name, key, sets`` and the rows of each key in scope and excluded."""
     rows = reduce(DataFrame.unionByName, parts)
+
+    def in_set(role: int) -> Column:
+        return F.col("role").bitwiseAND(F.lit(role)) != 0
+
     return rows.groupBy("table_name", "key").agg(
         F.bit_or("role").alias("sets"),
-        F.count_if(F.col("role") == IN_SCOPE).alias("n_in_scope"),
-        F.count_if(F.col("role") == EXCLUDED).alias("n_excluded"),
+        F.count_if(in_set(IN_SCOPE)).alias("n_in_scope"),
+        F.count_if(in_set(EXCLUDED)).alias("n_excluded"),
     )
 
 
