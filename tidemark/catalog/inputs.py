@@ -177,16 +177,27 @@ def deal_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Leads that are there; the deals of the others are orphans.
 HAS_LEAD = "CAST(mql_id AS BIGINT) % 101 <> 0"
 FIRST_DEAL = ("won_date", "sr_id", "sdr_id", "seller_id")
+# What the other fields of a deal are spelled from, beside the numbers in FIRST_DEAL.
+DEAL_CELLS = ("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
+DEAL_NUMBERS = {"l_linenumber": "CAST(sr_id AS INT)", "l_partkey": "CAST(sdr_id AS BIGINT)", "l_suppkey": "CAST(seller_id AS BIGINT)"}
 
 
 def replayed_leads(spark: SparkSession, sf_dir: str, deal_fields: Sequence[str] = DEAL_FIELDS) -> DataFrame:
     """Lead columns, deal, batch_id: each lead in its batch and again in that of its deal.
 
-    The deal may be given fewer fields, of which ``FIRST_DEAL`` choose it.
+    The deal may be given fewer fields, of which ``FIRST_DEAL`` choose it. The others are spelled
+    for the chosen deals alone: the lines are sorted and shuffled with the cells they are spelled from.
     """
-    return replay_children(
-        parents=lead_parents(spark, sf_dir),
-        children=deal_children(spark, sf_dir).select("mql_id", *deal_fields),
+    parents = lead_parents(spark, sf_dir)
+    cells = DEAL_CELLS if set(deal_fields) - set(FIRST_DEAL) else ()
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.expr("CAST(l_orderkey AS STRING)").alias("mql_id"),
+        *[F.expr(DEAL_TEXT[name]).alias(name) for name in FIRST_DEAL],
+        *cells,
+    )
+    replayed = replay_children(
+        parents=parents,
+        children=lines,
         key="mql_id",
         parent_time="first_contact_date",
         child_time="won_date",
@@ -194,6 +205,10 @@ def replayed_leads(spark: SparkSession, sf_dir: str, deal_fields: Sequence[str]
         child_order=[F.asc(c) for c in FIRST_DEAL],
         plan=BATCHES,
     )
+    chosen = replayed.select(*parents.columns, F.col("deal").isNotNull().alias("has_deal"), "deal.*", "batch_id")
+    numbered = chosen.withColumns({name: F.expr(number) for name, number in DEAL_NUMBERS.items()})
+    deal = F.struct(*[(F.col(name) if name in FIRST_DEAL else F.expr(DEAL_TEXT[name])).alias(name) for name in deal_fields])
+    return numbered.select(*parents.columns, F.when(F.col("has_deal"), deal).alias("deal"), "batch_id")
 
 
 def lead_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,10 @@ from tidemark.operators.latest import first_per_key
 from tidemark.sources.scratch import small_table
 
 
+#: Position of a plan's first batch.
+FIRST_SEQ = 0
+
+
 @dataclass(frozen=True)
 class Batch:
     batch_id: str

@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 
 def join_on_keys(
-    rows: DataFrame, unique_side: DataFrame, keys: Sequence[str], how: str
+    rows: DataFrame, unique_side: DataFrame, keys: Sequence[str], how: str, also: Column | None = None
 ) -> DataFrame:
+    """``also`` is a further condition on columns of both sides."""
     added = [c for c in unique_side.columns if c not in keys]
     right = unique_side.select(*[F.col(k).alias(f"__key_{k}") for k in keys], *added)
     same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
-    joined = rows.join(right, same_key, how)
+    joined = rows.join(right, same_key if also is None else same_key & also, how)
     kept = rows.columns if how in ("left_semi", "left_anti") else [*rows.columns, *added]
     return joined.select(*kept)
 

@@ -21,9 +21,9 @@ from tidemark.functions.text import (
     lower_category_or_unknown,
     tidy_place_name,
 )
-from tidemark.operators.batches import BatchPlan, with_batch_seq
-from tidemark.operators.latest import distinct_lines, latest_rows, newest_version
-from tidemark.operators.skew import lookup_join, with_group_values
+from tidemark.operators.batches import FIRST_SEQ, BatchPlan, with_batch_seq
+from tidemark.operators.latest import distinct_lines, latest_rows, newest_version, parted_by_repeat
+from tidemark.operators.skew import join_on_keys, lookup_join
 from tidemark.plans.contract import conform
 
 # Fixed value: calendar days after purchase beyond which a shipping limit is implausible.
@@ -73,7 +73,7 @@ def lead_versions(evaluated: DataFrame) -> DataFrame:
 def leads(evaluated: DataFrame, plan: BatchPlan) -> DataFrame:
     """One row per lead: the snapshot of its latest batch, the deal flattened."""
     versions = with_batch_seq(lead_versions(evaluated), plan)
-    return typed_leads(latest_rows(versions, ["mql_id"], "batch_seq"))
+    return typed_leads(latest_rows(versions, ["mql_id"], "batch_seq", FIRST_SEQ))
 
 
 def typed_leads(latest: DataFrame) -> DataFrame:
@@ -161,9 +161,9 @@ def mark_session_moments(
         F.count(F.lit(1)).alias("n_at_instant"),
         F.min(F.when(F.col("event_type") == "purchase", F.col("event_ts"))).alias("__purchase"),
     )
-    marked = with_group_values(
-        moments, ["session_id"], {"first_purchase_ts": F.min("__purchase")}
-    ).drop("__purchase")
+    bought = moments.filter(F.col("__purchase").isNotNull()).groupBy("session_id")
+    first = bought.agg(F.min("__purchase").alias("first_purchase_ts"))  # of the sessions that bought
+    marked = join_on_keys(moments.drop("__purchase"), first, ["session_id"], "left")
     return lookup_join(events, marked, ["session_id", instant], "inner")
 
 
@@ -181,7 +181,8 @@ def distinct_events(evaluated: DataFrame, plan: BatchPlan) -> DataFrame:
         "batch_seq", plan.position_of(F.col("batch_id"))
     )
     order = [F.asc_nulls_last("batch_seq"), F.asc("source_file"), F.asc("ingested_at")]
-    return distinct_lines(valid, "raw_line", order).select(*_event_columns())
+    once, rest = parted_by_repeat(valid, ["raw_line"])
+    return once.unionByName(distinct_lines(rest, "raw_line", order)).select(*_event_columns())
 
 
 def _event_columns() -> list[Column | str]:
@@ -279,7 +280,7 @@ def exported_orders(
 ) -> tuple[DataFrame, list[tuple[str, Column]]]:
     """Latest snapshot per order as the source has it, and the flags of casts that failed."""
     versions = with_batch_seq(order_versions(raw), plan)
-    return _typed_orders(latest_rows(versions, ["order_id"], "batch_seq"))
+    return _typed_orders(latest_rows(versions, ["order_id"], "batch_seq", FIRST_SEQ))
 
 
 def _typed_orders(latest: DataFrame) -> tuple[DataFrame, list[tuple[str, Column]]]:
@@ -394,7 +395,7 @@ def exported_reviews(
 ) -> tuple[DataFrame, list[tuple[str, Column]]]:
     """Latest snapshot per review and order as the source has it, and the flags of casts that failed."""
     versions = with_batch_seq(review_versions(raw), plan)
-    return _typed_reviews(latest_rows(versions, ["review_id", "order_id"], "batch_seq"))
+    return _typed_reviews(latest_rows(versions, ["review_id", "order_id"], "batch_seq", FIRST_SEQ))
 
 
 def _typed_reviews(latest: DataFrame) -> tuple[DataFrame, list[tuple[str, Column]]]:
