@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog import inputs
 from tidemark.operators import latest
 from tidemark.operators.batches import Batch, BatchPlan, replay_children
-from tidemark.plans import silver
+from tidemark.plans import second_route, silver
 
 PLAN = BatchPlan((Batch("one", "2020-06-30 23:59:59"), Batch("two", "2020-12-31 23:59:59")))
 
@@ -65,6 +65,27 @@ def test_only_marks_and_hashes_are_shuffled(spark):
     assert "Union" in plan_of(silver.orders(orders, PLAN)) and "LeftAnti" in plan_of(silver.orders(orders, PLAN))
 
 
+def test_newest_of_the_second_route(spark, marks):
+    rows = spark.createDataFrame([("a", "x", "one"), ("a", "y", "two"), ("b", "z", "odd"), (None, "n", "one"), (None, "m", "one")], "id string, v string, batch_id string")
+    newest = second_route._newest(rows, {"key": F.trim("id")}, ["v"], PLAN)
+    assert tuples(newest) == sorted([("a", "y"), ("b", "z"), (None, "n")], key=repr)
+    assert "BroadcastHashJoin" in plan_of(newest)
+
+
+def test_sums_of_the_second_route_are_read_not_made_again(spark):
+    sums = {c: F.lit(1).cast("long") for c in (*second_route.DELIVERY_SUMS, "n_orders_total", "n_canceled_orders", "n_valid_orders")}
+    leads = ("n_leads", "n_leads_with_deal", "n_close_time_valid_deals", "sum_days_to_close", "n_leads_not_excluded", "n_won_30d")
+    funnel = {c for pair in second_route.FUNNEL_RATES.values() for c in pair}
+    day = spark.createDataFrame([(date(2020, 11, 3),)], "day date")
+    month = F.lit("2020-11")
+    orders = day.select("day", month.alias("year_month"), F.lit("x").alias("customer_state"), *[v.alias(c) for c, v in sums.items()], F.lit(5).cast(second_route.MONEY).alias("sum_revenue"))
+    lead = day.select("day", month.alias("year_month"), F.lit("o").alias("origin"), *[F.lit(1).cast("long").alias(c) for c in leads])
+    sessions = day.select(F.col("day").alias("session_date"), month.alias("year_month"), *[F.lit(1).cast("long").alias(c) for c in sorted(funnel)])
+    found = second_route.kpi_tables(orders, lead, sessions, PLAN)
+    assert [r.year_month for r in found["kpi_sales_month"].orderBy("year_month").collect()] == ["2020-11", "2020-12"]
+    assert not [name for name, rows in found.items() if "Expand" in plan_of(rows) or second_route.FIRST in rows.columns]
+
+
 def test_deals_are_spelled_after_their_choice(spark, tmp_path):
     at = pa.timestamp("us")
     days = [datetime(2000, 1, 2), datetime(2001, 6, 5), None, datetime(2005, 1, 1)]

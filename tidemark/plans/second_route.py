@@ -12,6 +12,7 @@ not happened. A delivered order without an estimate is neither late nor on time,
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +21,12 @@ from tidemark.functions.calendar import calendar_days, elapsed_seconds, lenient_
 from tidemark.functions.measures import SMALL_MONTH_ORDERS, ratio
 from tidemark.operators.batches import BatchPlan
 from tidemark.operators.compare import to_metrics
+from tidemark.operators.latest import parted_by_repeat
 from tidemark.plans.contract import GOLD_KEYS
+from tidemark.sources.scratch import written_table
 
 MONEY = "decimal(30,2)"
+FIRST = "__first"
 #: A session's kinds of event, in the order of the funnel.
 KINDS = ("home", "product_view", "add_to_cart", "purchase")
 
@@ -70,10 +74,11 @@ def _one(condition: Column) -> Column:
 
 
 def _newest(rows: DataFrame, keys: Mapping[str, Column], wanted: Sequence[str], plan: BatchPlan) -> DataFrame:
-    """The wanted columns of each key's row in the newest batch: combined by the aggregate, ahead of its shuffle."""
+    """The wanted columns of each key's row in the newest batch; keys that have one row need no aggregate."""
     position = F.coalesce(plan.position_of(F.col("batch_id")), F.lit(-1))
     named = rows.select(*[value.alias(name) for name, value in keys.items()], F.struct(position.alias("at"), *wanted).alias("row"))
-    newest = named.groupBy(*keys).agg(F.max("row").alias("row"))
+    once, rest = parted_by_repeat(named, list(keys))
+    newest = once.unionByName(rest.groupBy(*keys).agg(F.max("row").alias("row")))
     return newest.select(*keys, *[F.col(f"row.{c}").alias(c) for c in wanted])
 
 
@@ -212,12 +217,18 @@ def session_components(bronze_events: DataFrame) -> DataFrame:
 
 
 def slice_sums(components: DataFrame, *slices: Sequence[str]) -> list[DataFrame]:
-    """All components summed by each of the slices, in one grouped pass over the rows."""
+    """All components summed by each of the slices, with their first day, in one grouped pass over the rows.
+
+    The sums, a row for each value of a slice, are written: a filter on one slice would else reach below the
+    aggregate, and each reader would go through all rows again.
+    """
     names = sorted({c for one in slices for c in one})
     labels = {*names, "day"}
     types = {f.name: f.dataType for f in components.schema}
     sums = [F.sum(c).cast(types[c]).alias(c) for c in components.columns if c not in labels]
-    grouped = components.groupingSets([list(one) for one in slices], *names).agg(F.grouping_id(*names).alias("__set"), *sums)
+    sums += [F.min("day").alias(FIRST)] if "day" in types and "day" not in names else []
+    sums_of = components.groupingSets([list(one) for one in slices], *names).agg(F.grouping_id(*names).alias("__set"), *sums)
+    grouped = written_table(sums_of, "slice_sums")
     # a column that a set leaves out has its bit, the first column the highest
     bits = [sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in one) for one in slices]
     return [grouped.where(F.col("__set") == bit).drop("__set", *[c for c in names if c not in one]) for bit, one in zip(bits, slices)]
@@ -247,15 +258,16 @@ def _with_growth(figures: DataFrame) -> DataFrame:
 
 def kpi_tables(orders: DataFrame, leads: DataFrame, sessions: DataFrame, plan: BatchPlan) -> dict[str, DataFrame]:
     """All KPI tables, without the columns that are no metrics, from the three kinds of components."""
-    first = orders.agg(F.min("day").alias("day")).unionByName(leads.agg(F.min("day").alias("day")))
-    first = first.unionByName(sessions.agg(F.min("session_date").alias("day"))).agg(F.min("day").alias("day"))
+    by_month, by_state = slice_sums(orders, ["year_month"], ["customer_state", "year_month"])
+    lead_month, lead_origin = slice_sums(leads, ["year_month"], ["origin"])
+    day, month = slice_sums(sessions, ["session_date"], ["year_month"])
+    firsts = [rows.select(F.col(c).alias("day")) for rows, c in ((by_month, FIRST), (lead_month, FIRST), (day, "session_date"))]
+    first = reduce(DataFrame.unionByName, firsts).agg(F.min("day").alias("day"))
+    by_month, by_state, lead_month, lead_origin = (rows.drop(FIRST) for rows in (by_month, by_state, lead_month, lead_origin))
     end = F.lit(plan.cutoff_date).cast("date")
     steps = F.sequence(F.trunc("day", "month"), end, F.expr("interval 1 month"))
     months = first.where(F.col("day") <= end).select(F.explode(steps).alias("month")).select(month_label(F.col("month")).alias("year_month"))
-    by_month, by_state = slice_sums(orders, ["year_month"], ["customer_state", "year_month"])
     every = _every_month(by_month, months)
-    lead_month, lead_origin = slice_sums(leads, ["year_month"], ["origin"])
-    day, month = slice_sums(sessions, ["session_date"], ["year_month"])
     delivery = lambda rows: _with_gap(_with_rates(rows, DELIVERY_RATES))
     return {
         "kpi_sales_month": _with_growth(_with_rates(every.select("year_month", *SALES_SUMS), SALES_RATES)),
