@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.catalog import inputs
 from tidemark.operators import latest
 from tidemark.operators.batches import Batch, BatchPlan, replay_children
-from tidemark.plans import second_route, silver
+from tidemark.plans import anomalies, second_route, silver
 
 PLAN = BatchPlan((Batch("one", "2020-06-30 23:59:59"), Batch("two", "2020-12-31 23:59:59")))
 
@@ -65,6 +65,20 @@ def test_only_marks_and_hashes_are_shuffled(spark):
     assert "Union" in plan_of(silver.orders(orders, PLAN)) and "LeftAnti" in plan_of(silver.orders(orders, PLAN))
 
 
+def test_equal_lines_and_shared_reviews(spark, marks):
+    reviews = spark.createDataFrame([("r", "1"), ("r", "2"), ("r", "2"), ("s", "1"), ("s", "1"), ("t", "3"), (None, "1"), (None, "2")], "review_id string, order_id string")
+    shared = anomalies.shared_reviews(reviews)
+    assert tuples(shared) == [("r", 2)]
+    assert "hash" in plan_of(shared) and "BroadcastHashJoin" in plan_of(shared)
+    event = {"user_id": "u", "session_id": "s", "order_id": None, "product_id": None, "outcome": None, "event_type": "home", "amount": None}
+    shape = "user_id string, session_id string, order_id string, product_id string, outcome string, event_type string, amount double, event_ts timestamp_ntz, raw_line string, is_parsed boolean, batch_id string, source_file string, ingested_at timestamp_ntz"
+    lines = [("x", "two"), ("x", "one"), ("x", None), ("y", "two"), ("z", "odd")]
+    rows = [(*event.values(), datetime(2020, 1, 1), line, True, batch, "f", datetime(2020, 1, 2)) for line, batch in lines]
+    unique = silver.distinct_events(silver.evaluate_events(spark.createDataFrame(rows, shape)), PLAN)
+    assert sorted(str(r.batch_id) for r in unique.collect()) == ["odd", "one", "two"]
+    assert "BroadcastHashJoin" in plan_of(unique)
+
+
 def test_newest_of_the_second_route(spark, marks):
     rows = spark.createDataFrame([("a", "x", "one"), ("a", "y", "two"), ("b", "z", "odd"), (None, "n", "one"), (None, "m", "one")], "id string, v string, batch_id string")
     newest = second_route._newest(rows, {"key": F.trim("id")}, ["v"], PLAN)

@@ -13,6 +13,7 @@ from tidemark.functions.flags import has_flag
 from tidemark.functions.text import tidy_place_name
 from tidemark.operators import checks
 from tidemark.operators.batches import BatchPlan
+from tidemark.operators.latest import parted_by_repeat
 from tidemark.operators.skew import lookup_join
 from tidemark.plans import gold, seeds, silver
 
@@ -74,7 +75,8 @@ def unlike_payments(items: DataFrame, payments: DataFrame) -> DataFrame:
 def shared_reviews(reviews: DataFrame) -> DataFrame:
     """Review ids that stand for several orders."""
     used = reviews.filter(F.col("review_id").isNotNull() & F.col("order_id").isNotNull())
-    per_id = used.select("review_id", "order_id").distinct().groupBy("review_id").count()
+    _, rest = parted_by_repeat(used.select("review_id", "order_id"), ["review_id"])
+    per_id = rest.distinct().groupBy("review_id").count()
     return per_id.filter(F.col("count") > 1)
 
 
